@@ -20,7 +20,7 @@ def fill_from_column(df: DataFrame, target: str, replacement: Column) -> DataFra
 
 
 def median_of(df: DataFrame, column: str) -> Column:
-    return exact_quantiles(df, [column], [0.5]).select("q0").scalar()
+    return one_row(exact_quantiles(df, [column], [0.5]).select("q0"))["q0"]
 
 
 def fill_median(df: DataFrame, column: str) -> DataFrame:

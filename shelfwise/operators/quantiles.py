@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.session import attach
@@ -39,68 +38,49 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per (by..., metric) with ``n`` and ``q0, q1, ...`` (linear interpolation)."""
     keys = [*by, "metric"]
+    quoted = ", ".join(f"`{k}`" for k in keys)
     long = melt_numeric(df, columns, by)
 
     # The sketch's rank error is n/accuracy; five times that also covers the step
     # between neighbouring ranks once n exceeds direct_rows.
     margin = max(5.0 / accuracy, 5.0 / max(direct_rows, 1))
     edges = [min(1.0, max(0.0, p + side * margin)) for p in probs for side in (-1, 1)]
-    sketch = long.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.percentile_approx("v", edges, accuracy).alias("edge")
+    brackets = ", ".join(
+        f"named_struct('i', {i}, 'lo', edge[{2 * i}], 'hi', edge[{2 * i + 1}])" for i in range(len(probs))
     )
-    schema = "array<struct<i:int,lo:double,hi:double>>"
-    bracketed = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.col("edge")[2 * i].alias("lo"),
-                F.col("edge")[2 * i + 1].alias("hi"),
-            )
-            for i in range(len(probs))
-        ]
-    ).cast(schema)
-    everything = F.array(
-        F.struct(
-            F.lit(-1).alias("i"),
-            F.lit(None).cast("double").alias("lo"),
-            F.lit(None).cast("double").alias("hi"),
+    everything = "named_struct('i', -1, 'lo', cast(null as double), 'hi', cast(null as double))"
+    sketch = (
+        long.groupBy(*keys)
+        .agg(F.count("*").alias("n"), F.percentile_approx("v", edges, accuracy).alias("edge"))
+        .selectExpr(
+            *keys, "n", f"if(n > {direct_rows}, array({brackets}), array({everything})) as targets"
         )
-    ).cast(schema)
-    sketch = sketch.select(
-        *keys, "n", F.when(F.col("n") > direct_rows, bracketed).otherwise(everything).alias("targets")
     )
 
     counted = (
         attach(long, sketch, keys, "inner")
-        .select(*keys, "n", "v", F.explode("targets").alias("t"))
-        .where(F.col("t.hi").isNull() | (F.col("v") <= F.col("t.hi")))
-        .select(
-            *keys,
-            "n",
-            F.col("t.i").alias("i"),
-            F.when(F.col("t.lo").isNull() | (F.col("v") >= F.col("t.lo")), F.col("v")).alias("v"),
-        )
+        .selectExpr(*keys, "n", "v", "explode(targets) as t")
+        .where("t.hi is null or v <= t.hi")
+        .selectExpr(*keys, "n", "t.i as i", "if(t.lo is null or v >= t.lo, v, null) as v")
         .groupBy(*keys, "n", "i", "v")
         .agg(F.count("*").alias("c"))
     )
-    upto = W.partitionBy(*keys, "i").orderBy(F.col("v").asc_nulls_first())
-    ranked = counted.withColumn("cum", F.sum("c").over(upto.rowsBetween(W.unboundedPreceding, 0)))
-
-    def at_rank(i: int, rank: Column) -> Column:
-        hit = F.col("i").isin(-1, i) & (F.col("cum") > rank)
-        value = F.when(
-            F.col("v").isNull(), F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
-        ).otherwise(F.col("v"))
-        return F.min(F.when(hit, value))
-
-    outputs, helpers = [], []
+    # Rows of one window: a small group, or the distinct values inside one bracket.
+    ranked = counted.selectExpr(
+        "*",
+        f"sum(c) over (partition by {quoted}, i order by v asc nulls first "
+        "rows between unbounded preceding and current row) as cum",
+    )
+    value = "if(v is null, cast(raise_error('quantile bracket missed its rank') as double), v)"
+    helpers, outputs = [], []
     for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("n") - 1)
-        helpers += [at_rank(i, F.floor(pos)).alias(f"lo{i}"), at_rank(i, F.ceil(pos)).alias(f"hi{i}")]
-        outputs.append(
-            (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (pos - F.floor(pos))).alias(f"q{i}")
-        )
-    return ranked.groupBy(*keys, "n").agg(*helpers).select(*keys, "n", *outputs)
+        pos = f"({p!r}D * (n - 1))"
+        helpers += [
+            F.expr(f"min(if(i in (-1, {i}) and cum > {side}({pos}), {value}, null)) as {name}{i}")
+            for name, side in (("lo", "floor"), ("hi", "ceil"))
+        ]
+        outputs.append(f"lo{i} + (hi{i} - lo{i}) * ({pos} - floor({pos})) as q{i}")
+    return ranked.groupBy(*keys, "n").agg(*helpers).selectExpr(*keys, "n", *outputs)
 
 
 def exact_modes(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast only after its rows were counted and found at or below this.
@@ -79,6 +79,13 @@ def attach(
     return big.join(stored, on, how)
 
 
-def one_row(df: DataFrame):
-    """The single row of an aggregate as a struct column (a scalar subquery, not a join)."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("s")).scalar()
+def one_row(df: DataFrame) -> dict[str, Column]:
+    """The single row of an aggregate as literals.
+
+    One row of numbers is all that reaches the driver. Inlined, they keep later plans
+    flat: no join with a one-row frame, and the aggregate runs once however often it is used.
+    """
+    row = df.first()
+    return {
+        f.name: F.lit(None if row is None else row[f.name]).cast(f.dataType) for f in df.schema.fields
+    }
