@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shelfwise.queries import query
 from shelfwise.session import scratch_path
 from shelfwise.sources import readers, writers
-from shelfwise.sources.derived import nested_catalog
+from shelfwise.sources.derived import PHONE_NAME, nested_catalog
 from shelfwise.sources.tables import part_with_gaps, table
 
 PART_DDL = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
@@ -18,20 +18,27 @@ def _(spark, d):
     return readers.read_csv(spark, path, PART_DDL)
 
 
+def product_lines(spark, d):
+    """Nested products written as lines that each hold an array of at most 50 records."""
+    path = scratch_path(spark, "json")
+    chunk = (F.regexp_extract("url", r"p(\d+)\.html", 1).cast("long") / 50).cast("long")
+    lines = (
+        nested_catalog(spark, d)
+        .groupBy(chunk.alias("chunk"))
+        .agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
+    )
+    lines.select("value").write.text(path)
+    return path
+
+
 @query(
     "s2_nested_json_scan",
-    """SELECT 'https://shop.example/p' || p_partkey || '.html' AS url, CASE WHEN p_partkey % 17 <> 0 THEN p_name END AS name,
+    f"""SELECT 'https://shop.example/p' || p_partkey || '.html' AS url, CASE WHEN p_partkey % 17 <> 0 THEN {PHONE_NAME} END AS name,
        CASE WHEN p_partkey % 17 = 0 THEN 'timeout' END AS error,
        CAST(CASE WHEN p_partkey % 17 <> 0 THEN 4 END AS INTEGER) AS n_specs FROM part""",
 )
 def _(spark, d):
-    """Written as lines that each hold an array of at most 50 products, then scanned."""
-    path = scratch_path(spark, "json")
-    catalog = nested_catalog(spark, d)
-    chunk = (F.regexp_extract("url", r"p(\d+)\.html", 1).cast("long") / 50).cast("long")
-    lines = catalog.groupBy(chunk.alias("chunk")).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
-    lines.select("value").write.text(path)
-    return readers.read_products(spark, path).select("url", "name", "error", F.size("specifications").alias("n_specs"))
+    return readers.read_products(spark, product_lines(spark, d)).select("url", "name", "error", F.size("specifications").alias("n_specs"))
 
 
 @query("s3_link_list_scan", 'SELECT url AS "Product Link" FROM pages')

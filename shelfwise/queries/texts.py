@@ -11,7 +11,7 @@ from shelfwise.functions import urls
 from shelfwise.functions.specs import merged_specs
 from shelfwise.queries import query
 from shelfwise.queries.sql import strip
-from shelfwise.sources.derived import nested_catalog, spec_texts, spec_texts_sql
+from shelfwise.sources.derived import PHONE_NAME, nested_catalog, spec_texts, spec_texts_sql
 from shelfwise.sources.tables import table
 
 TEXTS = spec_texts_sql()
@@ -170,7 +170,7 @@ over_documents(
 )
 
 CATALOG_FEATURES_SQL = f"""SELECT 'https://shop.example/p' || p_partkey || '.html' AS url,
-  CASE WHEN ok THEN p_name END AS name,
+  CASE WHEN ok THEN {PHONE_NAME} END AS name,
   CASE WHEN ok THEN TRY_CAST(regexp_replace({sql_extract('price_text', r'([\d.,]+)')}, '[.,]', '', 'g') AS BIGINT) END AS price,
   CASE WHEN ok THEN nullif(chipset_text, '') END AS chipset,
   CASE WHEN ok THEN split_part(nullif(chipset_text, ''), ' | ', 1) END AS cpu,

@@ -60,6 +60,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def hand_off(df: DataFrame, label: str) -> DataFrame:
+    """Write a large intermediate table as parquet and go on from there.
+
+    For a frame that several later passes read: it is computed once, later passes read
+    only their columns, and a lost executor re-reads a file instead of recomputing.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def attach(
     big: DataFrame,
     small: DataFrame,

@@ -53,6 +53,12 @@ SPEC_TEXTS = {
     f"WHEN 5 THEN 'Earbuds ' || p_name ELSE NULL END",
 }
 
+PHONE_NAME = (
+    "CASE p_partkey % 6 WHEN 0 THEN 'Redmi ' || p_name WHEN 1 THEN 'Điện thoại SAMSUNG ' || p_name || ' (2024) [mới]' "
+    "WHEN 2 THEN 'Apple ' || p_name WHEN 3 THEN p_name || ' moto blu' WHEN 4 THEN 'Pin dự phòng watch ' || p_name "
+    "ELSE p_name END"
+)
+
 
 def spec_texts(spark: SparkSession, folder: str) -> DataFrame:
     """``part`` with one specification text per kind."""
@@ -95,8 +101,86 @@ def nested_catalog(spark: SparkSession, folder: str) -> DataFrame:
     failed = F.col("p_partkey") % 17 == 0
     return texts.select(
         F.concat(F.lit("https://shop.example/p"), F.col("p_partkey").cast("string"), F.lit(".html")).alias("url"),
-        F.when(~failed, F.col("p_name")).alias("name"),
+        F.when(~failed, F.expr(PHONE_NAME)).alias("name"),
         F.when(~failed, F.col("price_text")).alias("price"),
         F.when(failed, F.lit("timeout")).alias("error"),
         F.when(~failed, specs).alias("specifications"),
     )
+
+
+LISTING_SIZE = 40
+SHOPS = ["links", "blocks", "cards"]
+
+#: Price as shown: grouped, missing in the first shop or 'Liên hệ' elsewhere for a quarter.
+SHOWN_PRICE = (
+    "CASE WHEN p_size % 4 <> 3 THEN CAST(1 + p_size AS STRING) || '.' || CAST(100 + p_size AS STRING) || '.000₫' END"
+)
+PRODUCT_PATH = "'/tai-nghe-chup-tai-' || CAST(p_partkey AS STRING) || '.html'"
+
+
+def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Listing pages of three shops with up to 40 products each: (page_no, shop, html)."""
+    shop = (F.col("page_no") % 3).cast("int")
+    price = F.expr(SHOWN_PRICE)
+    path = F.expr(PRODUCT_PATH)
+    name = F.concat("p_name", F.lit(" R&amp;D"))
+    links = F.concat(
+        F.lit('<div class="item"><a href="'), path, F.lit('"><img src="i.png"></a><h3><a href="'), path,
+        F.lit('">'), name, F.lit("</a></h3>"),
+        F.coalesce(F.concat(F.lit('<p class="item-Price">'), price, F.lit("</p>")), F.lit("")),
+        F.lit('</div><a href="/gioi-thieu.html">x</a>'),
+    )
+    shown = F.coalesce(price, F.lit("Liên hệ"))
+    blocks = F.concat(
+        F.lit('<div class="proloop-block"><div class="proloop-img"><a href="'), path,
+        F.lit('"><img src="i.png"></a></div><h3 class="proloop-name"><a href="'), path, F.lit('">'), name,
+        F.lit('</a></h3><span class="proloop-price--highlight">Giá '), shown, F.lit("</span></div>"),
+    )
+    cards = F.concat(
+        F.lit("<div class='product-card x'><a href='"), path, F.lit("'><h3 class='css-1xdyrhj'>"), name,
+        F.lit("</h3><div class='att-product-detail-latest-price'>"), shown, F.lit("</div></a></div>"),
+    )
+    parts = table(spark, folder, "part").withColumn("page_no", F.floor(F.col("p_partkey") / LISTING_SIZE))
+    card = F.when(shop == 0, links).when(shop == 1, blocks).otherwise(cards)
+    return (
+        parts.select("page_no", "p_partkey", card.alias("card"))
+        .groupBy("page_no")
+        .agg(F.sort_array(F.collect_list(F.struct("p_partkey", "card"))).alias("c"))
+        .select(
+            "page_no",
+            F.element_at(F.array(*[F.lit(s) for s in SHOPS]), shop + 1).alias("shop"),
+            F.concat(
+                F.lit("<html><body><script>var a='<a href=\"/tai-nghe-chup-tai-0.html\">';</script>"),
+                F.array_join(F.transform("c", lambda x: x["card"]), "\n"),
+                F.lit("</body></html>"),
+            ).alias("html"),
+        )
+    )
+
+
+def detail_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """One detail page per part: (p_partkey, url, html) with a price line and a spec table."""
+    key = F.col("p_partkey")
+    texts = spec_texts(spark, folder)
+
+    def row(label, value):
+        return F.coalesce(
+            F.concat(F.lit(f"<tr><td>{label}:</td><td>"), value, F.lit("</td></tr>")), F.lit("")
+        )
+
+    hours = F.concat(
+        F.col("p_size").cast("string"), F.lit(" giờ (ANC),<br>"), (F.col("p_size") + 7).cast("string"), F.lit(" giờ")
+    )
+    html = F.concat(
+        F.lit("<html><body><h1>"), F.coalesce("headphone_name", "p_name"), F.lit("</h1><p>Mã 12.345 giá "),
+        F.expr("CAST(1 + p_size AS STRING) || '.' || CAST(200 + p_size AS STRING) || '.000 đ'"),
+        F.lit("</p><table><tr><td>Mẫu</td><td>"), F.col("p_name"), F.lit("</td></tr><tr><td colspan=2>Chung</td></tr>"),
+        row("Thương hiệu", F.when(key % 3 != 0, F.concat(F.lit("Hãng "), F.col("p_name")))),
+        row("Cổng kết nối", F.col("connection_text")),
+        F.lit("<tr><td colspan=2>Chi tiết</td></tr>"),
+        row("Thời lượng pin", F.when(key % 4 != 0, hours)),
+        row("Trọng lượng", F.col("weight_text")),
+        F.lit("</table></body></html>"),
+    )
+    url = F.concat(F.lit("https://shop.example"), F.expr(PRODUCT_PATH))
+    return texts.select("p_partkey", url.alias("url"), html.alias("html"))

@@ -14,6 +14,7 @@ from shelfwise.operators.rows import ranked_union
 log = logging.getLogger(__name__)
 
 LINK_COLUMN = "Product Link"
+ORIGIN = {"origin_file": "string", "origin_offset": "bigint", "origin_row": "bigint"}
 
 PRODUCT_SCHEMA = T.StructType(
     [
@@ -59,6 +60,19 @@ def read_csv(
     )
 
 
+def with_origin(df: DataFrame) -> DataFrame:
+    """Adds the position of each row in its source: file, split offset and row in the split.
+
+    This is the row order that keep-first steps go by; call it directly on a scan.
+    """
+    return df.select(
+        "*",
+        F.col("_metadata.file_path").alias("origin_file"),
+        F.col("_metadata.file_block_start").alias("origin_offset"),
+        F.monotonically_increasing_id().alias("origin_row"),
+    )
+
+
 def read_products(spark: SparkSession, path: str | Sequence[str], array_file: bool = False) -> DataFrame:
     """Nested products. Lines may hold one record or an array of records.
 
@@ -95,12 +109,13 @@ def latest_paths(spark: SparkSession, folder: str, prefixes: Sequence[str], suff
 def read_latest(
     spark: SparkSession, folder: str, prefixes: Sequence[str], schema: T.StructType | str
 ) -> DataFrame:
-    """Union of the newest entry per prefix; missing sources are reported and skipped."""
+    """Union of the newest entry per prefix with source rank and origin; missing sources are skipped."""
     found = latest_paths(spark, folder, prefixes)
     for p in prefixes:
         if p not in found:
             log.warning("no raw file for prefix %s", p)
-    frames = [read_csv(spark, found[p], schema) for p in prefixes if p in found]
+    frames = [with_origin(read_csv(spark, found[p], schema)) for p in prefixes if p in found]
     if not frames:
-        return ranked_union([spark.createDataFrame([], schema)])
+        empty = spark.createDataFrame([], schema)
+        return ranked_union([empty.selectExpr("*", *[f"cast(null as {t}) as {c}" for c, t in ORIGIN.items()])])
     return ranked_union(frames)
