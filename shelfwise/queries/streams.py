@@ -24,8 +24,7 @@ def _(spark, d):
 
 @query(
     "t2_arriving_files",
-    """SELECT p_name, p_size, p_type FROM part WHERE p_type <> 'PROMO' AND p_name IS NOT NULL
-       QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY p_size) = 1""",
+    "SELECT p_partkey, p_name, p_size, p_type FROM part WHERE p_type <> 'PROMO'",
 )
 def _(spark, d):
     log = scratch_path(spark, "log")
@@ -33,4 +32,6 @@ def _(spark, d):
         spark, _raw_folder(spark, d), PART_DDL, PREFIXES, log, scratch_path(spark, "progress"), files_per_batch=3
     )
     running.awaitTermination()
-    return arrivals.merged(spark, log, PART_DDL, "p_partkey").select("p_name", "p_size", "p_type")
+    return arrivals.merged(spark, log, PART_DDL, "p_partkey").select(
+        "p_partkey", "p_name", "p_size", "p_type"
+    )
