@@ -42,20 +42,26 @@ HREF = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)"""
 
 def unescape(c: Column | str) -> Column:
     """Named references of the table above and decimal references to characters."""
-    text = col(c)
-    for name, char in NAMED_REFERENCES.items():
-        text = F.replace(text, F.lit(name), F.lit(char))
-    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(\d{1,7});"), F.lit(1)))
-    decoded = F.aggregate(
-        codes,
-        text,
-        lambda acc, code: F.replace(
-            acc,
-            F.concat(F.lit("&#"), code, F.lit(";")),
-            F.decode(F.unhex(F.lpad(F.hex(code.cast("int")), 8, "0")), "UTF-32"),
-        ),
-    )
-    return F.replace(F.when(text.contains("&#"), decoded).otherwise(text), F.lit("&amp;"), F.lit("&"))
+
+    def numeric(text: Column) -> Column:
+        codes = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(\d{1,7});"), F.lit(1)))
+        return F.aggregate(
+            codes,
+            text,
+            lambda acc, code: F.replace(
+                acc,
+                F.concat(F.lit("&#"), code, F.lit(";")),
+                F.decode(F.unhex(F.lpad(F.hex(code.cast("int")), 8, "0")), "UTF-32"),
+            ),
+        )
+
+    def decoded(text: Column) -> Column:
+        out = F.when(text.contains("&#"), numeric(text)).otherwise(text)
+        for name, char in NAMED_REFERENCES.items():
+            out = F.replace(out, F.lit(name), F.lit(char))
+        return F.replace(out, F.lit("&amp;"), F.lit("&"))
+
+    return tx.let(col(c), lambda text: F.when(text.contains("&"), decoded(text)).otherwise(text))
 
 
 def shown(html: Column | str) -> Column:
@@ -64,13 +70,13 @@ def shown(html: Column | str) -> Column:
 
 
 def inline_text(html: Column | str) -> Column:
-    """Text of a fragment with its tags removed, stripped."""
-    return tx.strip(unescape(F.regexp_replace(shown(html), TAG, "")))
+    """Text of a shown fragment with its tags removed, stripped."""
+    return tx.strip(unescape(F.regexp_replace(col(html), TAG, "")))
 
 
 def cell_text(html: Column | str) -> Column:
     """Like inline_text, with a line break per <br> or block end."""
-    broken = F.regexp_replace(shown(html), r"(?i)<br\s*/?>|</(?:p|div|li)\s*>", "\n")
+    broken = F.regexp_replace(col(html), r"(?i)<br\s*/?>|</(?:p|div|li)\s*>", "\n")
     return tx.strip(unescape(F.regexp_replace(broken, TAG, "")))
 
 
@@ -81,11 +87,17 @@ def visible_lines(html: Column | str) -> Column:
 
 def links(html: Column | str) -> Column:
     """ARRAY<STRUCT<href, label>>; of a repeated address only the first is kept."""
-    page = shown(html)
-    hrefs = F.transform(F.regexp_extract_all(page, F.lit(LINK), F.lit(1)), unescape)
-    labels = F.transform(F.regexp_extract_all(page, F.lit(LINK), F.lit(2)), inline_text)
-    both = F.arrays_zip(hrefs.alias("href"), labels.alias("label"))
-    return F.filter(both, lambda x, i: F.array_position(hrefs, x["href"]) == i + 1)
+
+    def first_of_each(hrefs: Column, labels: Column) -> Column:
+        both = F.arrays_zip(hrefs.alias("href"), labels.alias("label"))
+        return F.filter(both, lambda x, i: F.array_position(hrefs, x["href"]) == i + 1)
+
+    def of_page(page: Column) -> Column:
+        labels = F.transform(F.regexp_extract_all(page, F.lit(LINK), F.lit(2)), inline_text)
+        hrefs = F.transform(F.regexp_extract_all(page, F.lit(LINK), F.lit(1)), unescape)
+        return tx.let(hrefs, lambda found: first_of_each(found, labels))
+
+    return tx.let(shown(html), of_page)
 
 
 def element_texts(html: Column | str, opening: str) -> Column:
@@ -112,7 +124,8 @@ def following_line(lines: Column | str, labels: Sequence[str]) -> Column:
     hit = F.array_position(
         F.transform(col(lines), lambda ln: F.lower(ln).rlike(pattern)), F.lit(True)
     )
-    return F.when(hit > 0, F.get(col(lines), hit.cast("int")))
+    # A position counts from 1, so as an index from 0 it names the next line.
+    return F.get(col(lines), F.nullif(hit, F.lit(0)).cast("int"))
 
 
 def plausible_prices(text: Column | str, low: int, high: int) -> Column:
@@ -140,23 +153,23 @@ def page_specs(lines: Column | str, labels: dict[str, Sequence[str]], brands: st
 
 
 def table_rows(html: Column | str) -> Column:
-    """ARRAY<STRUCT<key, value>> of the table rows; a one-cell row has no value."""
-    rows = F.regexp_extract_all(shown(html), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+    """ARRAY<STRUCT<key, value>> of the rows of a shown page; a one-cell row has no value."""
+    rows = F.regexp_extract_all(col(html), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
     cells = F.transform(
-        rows,
-        lambda r: F.transform(
-            F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), F.lit(1)), cell_text
-        ),
+        rows, lambda r: F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), F.lit(1))
     )
     pairs = F.transform(
-        cells, lambda c: F.struct(F.get(c, F.lit(0)).alias("key"), F.get(c, F.lit(1)).alias("value"))
+        cells,
+        lambda c: F.struct(
+            cell_text(F.get(c, F.lit(0))).alias("key"), cell_text(F.get(c, F.lit(1))).alias("value")
+        ),
     )
     return F.filter(pairs, lambda p: p["key"].isNotNull())
 
 
 def table_specs(html: Column | str) -> Column:
     """[{category, details}] of a page whose one-cell rows are category titles."""
-    return sp.grouped_rows(table_rows(html))
+    return sp.grouped_rows(table_rows(shown(html)))
 
 
 # Markup of a sectioned specification sheet.

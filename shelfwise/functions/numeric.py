@@ -73,8 +73,10 @@ def clock_text(seconds: Column | str) -> Column:
 
 
 def parse_timestamp(c: Column | str, lenient: bool = False) -> Column:
-    fmt = F.lit("yyyy-MM-dd HH:mm:ss")
-    return F.try_to_timestamp(col(c), fmt) if lenient else F.to_timestamp(col(c), "yyyy-MM-dd HH:mm:ss")
+    """'YYYY-MM-DD HH:MM:SS' to a timestamp without zone; bad text is an error, or NULL if lenient."""
+    if lenient:
+        return col(c).try_cast("timestamp_ntz")
+    return F.to_timestamp_ntz(col(c), F.lit("yyyy-MM-dd HH:mm:ss"))
 
 
 # Short weekday names, Monday first.

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfwise.fixed_values import DEFAULT_SPEC_CATEGORY
-from shelfwise.functions.text import cell_value, col, first_present, strip
+from shelfwise.functions.text import cell_value, col, first_present, let, strip
 
 ENTRIES = "array<struct<key:string,value:string>>"
 
@@ -16,15 +16,21 @@ ENTRIES = "array<struct<key:string,value:string>>"
 def list_as_text(value: Column | str) -> Column:
     """A JSON list becomes its items joined by ' | '; other text stays."""
     text = col(value)
-    items = F.when(text.startswith("["), F.from_json(text, "array<string>"))
-    return F.coalesce(F.array_join(items, " | "), text)
+    listed = F.array_join(F.from_json(text, "array<string>"), " | ")
+    return F.when(text.startswith("["), F.coalesce(listed, text)).otherwise(text)
 
 
 def last_wins(entries: Column) -> Column:
     """Entries to a map; a repeated key keeps its last value."""
-    back = F.reverse(entries)
-    names = F.transform(back, lambda e: e["key"])
-    return F.map_from_entries(F.filter(back, lambda e, i: F.array_position(names, e["key"]) == i + 1))
+
+    def kept(back: Column, names: Column) -> Column:
+        return F.map_from_entries(
+            F.filter(back, lambda e, i: F.array_position(names, e["key"]) == i + 1)
+        )
+
+    return let(
+        F.reverse(entries), lambda back: let(F.transform(back, lambda e: e["key"]), lambda names: kept(back, names))
+    )
 
 
 def merged_specs(specifications: Column | str) -> Column:
@@ -59,22 +65,23 @@ def grouped_rows(rows: Column | str) -> Column:
     ``rows`` is ARRAY<STRUCT<key, value>>; a row with NULL value opens a category. The
     array belongs to one page, so the work stays inside the record and needs no shuffle.
     """
-    stream = col(rows)
     opening = F.struct(F.lit(DEFAULT_SPEC_CATEGORY).alias("key"), F.lit(None).cast("string").alias("value"))
-    full = F.concat(F.array(opening), stream)
-    heads = F.filter(
-        F.transform(full, lambda r, i: F.when(r["value"].isNull(), i)), lambda i: i.isNotNull()
-    )
-    sections = F.transform(
-        heads,
-        lambda h, k: F.struct(
-            strip(F.get(full, h)["key"]).alias("category"),
-            details_from_rows(
-                F.slice(full, h + 2, F.coalesce(F.get(heads, k + 1), F.size(full)) - h - 1)
-            ).alias("details"),
-        ),
-    )
-    return F.filter(sections, lambda s: F.size(s["details"]) > 0)
+
+    def sections(full: Column, heads: Column) -> Column:
+        def section(head: Column, k: Column) -> Column:
+            stop = F.coalesce(F.get(heads, k + 1), F.size(full))
+            return F.struct(
+                strip(F.get(full, head)["key"]).alias("category"),
+                details_from_rows(F.slice(full, head + 2, stop - head - 1)).alias("details"),
+            )
+
+        return F.filter(F.transform(heads, section), lambda s: F.size(s["details"]) > 0)
+
+    def with_heads(full: Column) -> Column:
+        marked = F.transform(full, lambda r, i: F.when(r["value"].isNull(), i))
+        return let(F.array_compact(marked), lambda heads: sections(full, heads))
+
+    return let(F.concat(F.array(opening), col(rows)), with_heads)
 
 
 def usable_specs(specifications: Column | str) -> Column:

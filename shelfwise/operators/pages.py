@@ -145,10 +145,15 @@ def detail_price(html: Column | str, lines: Column | str) -> Column:
         ),
     )
     text = F.array_join(tx.col(lines), " ")
+
+    def chosen(found: Column) -> Column:
+        return F.coalesce(
+            F.get(F.filter(found, lambda p: p["vnd"] > PLAIN_PRICE_ABOVE), F.lit(0)),
+            F.get(F.filter(found, lambda p: p["vnd"] > 0), F.lit(0)),
+        )
+
     return F.coalesce(
-        F.get(F.filter(priced, lambda p: p["vnd"] > PLAIN_PRICE_ABOVE), F.lit(0)),
-        F.get(F.filter(priced, lambda p: p["vnd"] > 0), F.lit(0)),
-        F.get(mk.plausible_prices(text, *fx.PAGE_PRICE_RANGE), F.lit(0)),
+        tx.let(priced, chosen), F.get(mk.plausible_prices(text, *fx.PAGE_PRICE_RANGE), F.lit(0))
     )
 
 

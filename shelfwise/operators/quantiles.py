@@ -1,8 +1,8 @@
 """Exact quantiles and modes that never gather a group in one task.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer. Here a
-bounded sketch first brackets each wanted rank; then only the values inside the
-bracket are counted exactly, while everything below it collapses into one count.
+Spark's ``percentile`` keeps every distinct value of a group in one buffer. Here bounded
+sketches first narrow down, round by round, the values between which each wanted rank
+must lie. Only those are counted exactly; everything below collapses into one count.
 """
 
 from __future__ import annotations
@@ -12,11 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.session import attach
+from shelfwise.session import attach, cut_lineage
 
-#: Groups up to this many values are ranked directly, without a bracket.
-DIRECT_GROUP_ROWS = 100_000
-SKETCH_ACCURACY = 10_000
+#: A group, or what is left of it between two edges, is ranked directly up to this size.
+DIRECT_ROWS = 1_000_000
+#: A sketch divides its values into this many steps, with an error of a tenth of a step.
+SKETCH_STEPS = 1000
+#: Steps that stay between the two edges around a rank: its own and one more on each side.
+KEPT_STEPS = 4
 
 
 def melt_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -33,45 +36,33 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    direct_rows: int = DIRECT_GROUP_ROWS,
-    accuracy: int = SKETCH_ACCURACY,
+    direct_rows: int = DIRECT_ROWS,
+    steps: int = SKETCH_STEPS,
 ) -> DataFrame:
-    """One row per (by..., metric) with ``n`` and ``q0, q1, ...`` (linear interpolation)."""
+    """One row per (by..., metric) with ``n`` and ``q0, q1, ...`` (linear interpolation).
+
+    Two passes for groups up to ``direct_rows * steps / 4`` values; each further factor of
+    ``steps / 4`` costs one more.
+    """
     keys = [*by, "metric"]
     quoted = ", ".join(f"`{k}`" for k in keys)
     long = melt_numeric(df, columns, by)
-
-    # The sketch's rank error is n/accuracy; five times that also covers the step
-    # between neighbouring ranks once n exceeds direct_rows.
-    margin = max(5.0 / accuracy, 5.0 / max(direct_rows, 1))
-    edges = [min(1.0, max(0.0, p + side * margin)) for p in probs for side in (-1, 1)]
-    brackets = ", ".join(
-        f"named_struct('i', {i}, 'lo', edge[{2 * i}], 'hi', edge[{2 * i + 1}])" for i in range(len(probs))
-    )
-    everything = "named_struct('i', -1, 'lo', cast(null as double), 'hi', cast(null as double))"
-    sketch = (
-        long.groupBy(*keys)
-        .agg(F.count("*").alias("n"), F.percentile_approx("v", edges, accuracy).alias("edge"))
-        .selectExpr(
-            *keys, "n", f"if(n > {direct_rows}, array({brackets}), array({everything})) as targets"
-        )
-    )
+    targets = _edges(long, keys, probs, direct_rows, steps)
 
     counted = (
-        attach(long, sketch, keys, "inner")
-        .selectExpr(*keys, "n", "v", "explode(targets) as t")
-        .where("t.hi is null or v <= t.hi")
-        .selectExpr(*keys, "n", "t.i as i", "if(t.lo is null or v >= t.lo, v, null) as v")
+        attach(long, targets, keys, "inner")
+        .where("hi is null or v <= hi")
+        .selectExpr(*keys, "n", "i", "if(lo is null or v >= lo, v, null) as v")
         .groupBy(*keys, "n", "i", "v")
         .agg(F.count("*").alias("c"))
     )
-    # Rows of one window: a small group, or the distinct values inside one bracket.
+    # Rows of one window: a small group, or the distinct values between two edges.
     ranked = counted.selectExpr(
         "*",
         f"sum(c) over (partition by {quoted}, i order by v asc nulls first "
         "rows between unbounded preceding and current row) as cum",
     )
-    value = "if(v is null, cast(raise_error('quantile bracket missed its rank') as double), v)"
+    value = "if(v is null, cast(raise_error('quantile edges missed their rank') as double), v)"
     helpers, outputs = [], []
     for i, p in enumerate(probs):
         pos = f"({p!r}D * (n - 1))"
@@ -83,6 +74,58 @@ def exact_quantiles(
     return ranked.groupBy(*keys, "n").agg(*helpers).selectExpr(*keys, "n", *outputs)
 
 
+def _edges(
+    long: DataFrame, keys: Sequence[str], probs: Sequence[float], direct_rows: int, steps: int
+) -> DataFrame:
+    """(keys..., n, i, lo, hi): values around the rank of the i-th probability.
+
+    A group small enough to be ranked as a whole has one row with i = -1 and no edges.
+    """
+    grid = [j / steps for j in range(steps + 1)]
+
+    def sketch(value: str):
+        return F.percentile_approx(F.expr(value), grid, 10 * steps).alias("edge")
+
+    def around(below: str, size: str) -> list[str]:
+        low = f"greatest(0, floor((floor(p * (n - 1)) - {below}) / {size} * {steps}) - 1)"
+        high = f"least({steps}, ceil((ceil(p * (n - 1)) + 1 - {below}) / {size} * {steps}) + 1)"
+        return [f"edge[int({low})] as new_lo", f"edge[int({high})] as new_hi"]
+
+    ranks = ", ".join(f"named_struct('i', {i}, 'p', {p!r}D)" for i, p in enumerate(probs))
+    whole = "array(named_struct('i', -1, 'p', 0D))"
+    targets = cut_lineage(
+        long.groupBy(*keys)
+        .agg(F.count("*").alias("n"), sketch("v"))
+        .selectExpr(*keys, "n", "edge", f"inline(if(n > {direct_rows}, array({ranks}), {whole}))")
+        .selectExpr(*keys, "n", "i", "p", "edge", *around("0", "n"))
+        .selectExpr(
+            *keys, "n", "i", "p",
+            "if(i < 0, null, new_lo) as lo", "if(i < 0, null, new_hi) as hi",
+            f"if(i < 0, 0, n * {KEPT_STEPS / steps}D) as size",
+        )
+    )
+    while (targets.agg(F.max("size")).first()[0] or 0) > direct_rows:
+        wide = targets.where(F.col("size") > direct_rows)
+        measured = (
+            attach(long, wide.drop("size"), keys, "inner")
+            .where("v <= hi")
+            .groupBy(*keys, "n", "i", "p", "lo", "hi")
+            .agg(
+                F.count_if(F.expr("v < lo")).alias("below"),
+                F.count_if(F.expr("v >= lo")).alias("inside"),
+                sketch("if(v >= lo, v, null)"),
+            )
+            .selectExpr(*keys, "n", "i", "p", "lo", "hi", "inside", *around("below", "inside"))
+        )
+        # Edges that no longer move stand on repeated values, which count as one each.
+        narrower = measured.selectExpr(
+            *keys, "n", "i", "p", "new_lo as lo", "new_hi as hi",
+            f"if(new_lo = lo and new_hi = hi, 0, inside * {KEPT_STEPS / steps}D) as size",
+        )
+        targets = cut_lineage(targets.where(F.col("size") <= direct_rows).unionByName(narrower))
+    return targets.select(*keys, "n", "i", "lo", "hi")
+
+
 def exact_modes(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """One row per (by..., metric) with the most frequent text; ties take the smallest."""
     pairs = ", ".join(f"'{c}', cast(`{c}` as string)" for c in columns)

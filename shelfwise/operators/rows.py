@@ -84,9 +84,14 @@ def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def ordered(df: DataFrame, order: Sequence[Column], tie: Sequence[str]) -> DataFrame:
+    """Global sort. The tie columns let the range exchange split one hot sort value."""
+    return df.orderBy(*order, *tie)
+
+
 def seeded_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """A repeatable sample of n rows: the n smallest seeded hashes of the key."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key))), F.col(key)).limit(n)
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:

@@ -179,7 +179,7 @@ SCALED = ["l_quantity", "l_extendedprice", "l_discount", "fixed"]
 @query(
     "e10_standard_scaled",
     "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, "
-    + ", ".join(f"round((l.{c} - m_{c}) / s_{c}, 6) AS {c}" for c in SCALED[:3])
+    + ", ".join(f"round((l.{c} - m_{c}) / s_{c}, 6) + 0.0::DOUBLE AS {c}" for c in SCALED[:3])
     + ", 0.0::DOUBLE AS fixed FROM lineitem l, (SELECT "
     + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in SCALED[:3])
     + " FROM lineitem)",

@@ -203,7 +203,8 @@ def _(spark, d):
 
 @query("k1_single_key_sort", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC")
 def _(spark, d):
-    return table(spark, d, "orders").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return rows.ordered(orders, [F.desc("o_totalprice")], tie=["o_orderkey"])
 
 
 @query(
@@ -212,11 +213,8 @@ def _(spark, d):
        ORDER BY o_orderstatus, o_totalprice DESC""",
 )
 def _(spark, d):
-    return (
-        table(spark, d, "orders")
-        .select("o_orderstatus", "o_totalprice", "o_orderkey")
-        .orderBy(F.asc("o_orderstatus"), F.desc("o_totalprice"))
-    )
+    orders = table(spark, d, "orders").select("o_orderstatus", "o_totalprice", "o_orderkey")
+    return rows.ordered(orders, [F.asc("o_orderstatus"), F.desc("o_totalprice")], tie=["o_orderkey"])
 
 
 @query(
@@ -246,7 +244,10 @@ def _(spark, d):
     return agg.top_values(table(spark, d, "events"), "user_id", 5)
 
 
-@query("k6_seeded_sample")
+@query(
+    "k6_seeded_sample",
+    "SELECT * FROM part ORDER BY md5('42:' || p_partkey), p_partkey LIMIT 5",
+)
 def _(spark, d):
     return rows.seeded_rows(table(spark, d, "part"), "p_partkey", 5)
 

@@ -140,5 +140,5 @@ def _(spark, d):
         F.concat(F.col("user_id").cast("string"), "props").alias("url"),
         (F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")).alias("early"),
     )
-    fresh = lookup.unseen(keyed.where(~F.col("early")), keyed.where("early"), "url")
-    return rows.keep_first(fresh.select("url", "event_id"), ["url"], ["event_id"])
+    batch = rows.keep_first(keyed.where(~F.col("early")).select("url", "event_id"), ["url"], ["event_id"])
+    return lookup.unseen(batch, keyed.where("early"), "url")

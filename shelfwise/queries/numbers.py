@@ -94,21 +94,18 @@ def _(spark, d):
     return table(spark, d, "documents").select("doc_id", nm.largest_integer("text").alias("result"))
 
 
-_STAMP = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
-
-
 @query(
     "dt1_parse_timestamp",
-    f"""SELECT event_id, epoch(strptime({_STAMP}, '%Y-%m-%d %H:%M:%S'))::BIGINT AS seconds,
-        CASE WHEN event_id % 3 <> 0 THEN epoch(strptime({_STAMP}, '%Y-%m-%d %H:%M:%S'))::BIGINT END AS lenient FROM events""",
+    """SELECT event_id, strftime(ts, '%d/%m/%Y %H-%M-%S') AS parsed,
+       CASE WHEN event_id % 3 <> 0 THEN strftime(ts, '%d/%m/%Y %H-%M-%S') END AS lenient FROM events""",
 )
 def _(spark, d):
     stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     broken = F.when(F.col("event_id") % 3 != 0, stamp).otherwise(F.lit("no time"))
     return table(spark, d, "events").select(
         "event_id",
-        F.unix_timestamp(nm.parse_timestamp(stamp)).alias("seconds"),
-        F.unix_timestamp(nm.parse_timestamp(broken, lenient=True)).alias("lenient"),
+        F.date_format(nm.parse_timestamp(stamp), "dd/MM/yyyy HH-mm-ss").alias("parsed"),
+        F.date_format(nm.parse_timestamp(broken, lenient=True), "dd/MM/yyyy HH-mm-ss").alias("lenient"),
     )
 
 
