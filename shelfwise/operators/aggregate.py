@@ -140,24 +140,32 @@ def overall_median_and_mode(df: DataFrame, number: str, text: str) -> DataFrame:
     return exact_quantiles(df, [number], [0.5]).select(F.col("q0").alias("median_value"), mode.alias("mode_value"))
 
 
-def safe_corr(x: str, y: str) -> Column:
-    """Pearson r over rows where both are present; no spread on either side gives NULL."""
-    a, b = no_nan(x), no_nan(y)
-    both = a.isNotNull() & b.isNotNull()
-    a, b = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
-    top = F.covar_pop(a, b)
-    bottom = F.stddev_pop(a) * F.stddev_pop(b)
-    return F.when(bottom > 0, top / bottom)
+def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(x, y, r): Pearson r per pair over the rows that have both.
+
+    No complete row, or no spread on either side, gives NULL. All pairs share one pass;
+    each row adds to its pairs inside the task, so the shuffle carries one row per pair.
+    """
+    numbered = [
+        F.struct(F.lit(i).alias("pair"), no_nan(a).alias("a"), no_nan(b).alias("b"))
+        for i, (a, b) in enumerate(pairs)
+    ]
+    spread = F.stddev_pop("a") * F.stddev_pop("b")
+    found = (
+        df.select(F.inline(F.array(*numbered)))
+        .where(F.col("a").isNotNull() & F.col("b").isNotNull())
+        .groupBy("pair")
+        .agg(F.when(spread > 0, F.covar_pop("a", "b") / F.nullif(spread, F.lit(0.0))).alias("r"))
+    )
+    names = df.sparkSession.createDataFrame(
+        [(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, x string, y string"
+    )
+    return names.join(found, "pair", "left").select("x", "y", "r")
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The full matrix as (x, y, r), every pair in the same single aggregate."""
-    cells = [
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), safe_corr(a, b).alias("r"))
-        for i, a in enumerate(columns)
-        for b in columns[: i + 1]
-    ]
-    lower = df.agg(F.array(*cells).alias("m")).select(F.inline("m"))
+    """The full matrix as (x, y, r); each unordered pair is computed once."""
+    lower = correlations(df, [(a, b) for i, a in enumerate(columns) for b in columns[: i + 1]])
     both = F.when(F.col("x") == F.col("y"), F.array(F.struct("x", "y", "r"))).otherwise(
         F.array(
             F.struct("x", "y", "r"),
@@ -168,17 +176,12 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def correlation_with(df: DataFrame, target: str, columns: Sequence[str], k: int) -> DataFrame:
-    cells = [F.struct(F.lit(c).alias("x"), safe_corr(c, target).alias("r")) for c in columns]
-    return df.agg(F.array(*cells).alias("m")).select(F.inline("m")).orderBy(F.desc_nulls_last("r"), "x").limit(k)
+    ranked = correlations(df, [(c, target) for c in columns]).select("x", "r")
+    return ranked.orderBy(F.desc_nulls_last("r"), "x").limit(k)
 
 
 def correlation_lower(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    cells = [
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), safe_corr(a, b).alias("r"))
-        for i, a in enumerate(columns)
-        for b in columns[:i]
-    ]
-    return df.agg(F.array(*cells).alias("m")).select(F.inline("m"))
+    return correlations(df, [(a, b) for i, a in enumerate(columns) for b in columns[:i]])
 
 
 def pivot_counts(df: DataFrame, rows: str, columns: str, values: Sequence, counted: str) -> DataFrame:

@@ -66,8 +66,11 @@ def fill_group_medians(
             for c in columns
         }
     ).select(*order)
-    overall = one_row(wide_medians(filled, columns))
-    return filled.withColumns({c: F.coalesce(F.col(c), overall[f"med_{c}"]) for c in columns})
+    left = _still_missing(filled, columns)
+    if not left:
+        return filled
+    overall = one_row(wide_medians(filled, left))
+    return filled.withColumns({c: F.coalesce(F.col(c), overall[f"med_{c}"]) for c in left})
 
 
 def fill_group_modes(
@@ -83,7 +86,16 @@ def fill_group_modes(
             for c in columns
         }
     ).select(*order)
-    overall = one_row(wide_modes(filled, columns))
+    left = _still_missing(filled, columns)
+    if not left:
+        return filled
+    overall = one_row(wide_modes(filled, left))
     return filled.withColumns(
-        {c: F.coalesce(F.col(c), overall[f"mode_{c}"], F.lit(default)) for c in columns}
+        {c: F.coalesce(F.col(c), overall[f"mode_{c}"], F.lit(default)) for c in left}
     )
+
+
+def _still_missing(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns that still miss values: one cheap pass that mostly saves the costlier one."""
+    row = df.agg(*[F.count_if(F.isnull(c)).alias(c) for c in columns]).first()
+    return [c for c in columns if row[c]]

@@ -15,7 +15,9 @@ def backfill(
     df: DataFrame, key: str, target: str, mapping: Mapping[str, object] | DataFrame
 ) -> DataFrame:
     """Fill ``target`` from a (key -> value) mapping, only where it is missing."""
+    known = None
     if not isinstance(mapping, DataFrame):
+        known = len(mapping)
         value_type = df.schema[target].dataType.simpleString()
         mapping = df.sparkSession.createDataFrame(
             list(mapping.items()), f"`{key}` {df.schema[key].dataType.simpleString()}, _fill {value_type}"
@@ -23,7 +25,7 @@ def backfill(
     else:
         mapping = mapping.toDF(key, "_fill")
     order = df.columns
-    filled = attach(df, mapping, [key], "left")
+    filled = attach(df, mapping, [key], "left", rows=known)
     return filled.withColumn(target, F.coalesce(target, "_fill")).select(*order)
 
 

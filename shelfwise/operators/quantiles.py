@@ -47,10 +47,10 @@ def exact_quantiles(
     keys = [*by, "metric"]
     quoted = ", ".join(f"`{k}`" for k in keys)
     long = melt_numeric(df, columns, by)
-    targets = _edges(long, keys, probs, direct_rows, steps)
+    targets, n_targets = _edges(long, keys, probs, direct_rows, steps)
 
     counted = (
-        attach(long, targets, keys, "inner")
+        attach(long, targets, keys, "inner", rows=n_targets)
         .where("hi is null or v <= hi")
         .selectExpr(*keys, "n", "i", "if(lo is null or v >= lo, v, null) as v")
         .groupBy(*keys, "n", "i", "v")
@@ -76,8 +76,8 @@ def exact_quantiles(
 
 def _edges(
     long: DataFrame, keys: Sequence[str], probs: Sequence[float], direct_rows: int, steps: int
-) -> DataFrame:
-    """(keys..., n, i, lo, hi): values around the rank of the i-th probability.
+) -> tuple[DataFrame, int]:
+    """(keys..., n, i, lo, hi), and its row count: values around the i-th probability's rank.
 
     A group small enough to be ranked as a whole has one row with i = -1 and no edges.
     """
@@ -104,10 +104,13 @@ def _edges(
             f"if(i < 0, 0, n * {KEPT_STEPS / steps}D) as size",
         )
     )
-    while (targets.agg(F.max("size")).first()[0] or 0) > direct_rows:
+    while True:
+        state = targets.agg(F.count("*").alias("rows"), F.max("size").alias("size")).first()
+        if (state["size"] or 0) <= direct_rows:
+            return targets.select(*keys, "n", "i", "lo", "hi"), state["rows"]
         wide = targets.where(F.col("size") > direct_rows)
         measured = (
-            attach(long, wide.drop("size"), keys, "inner")
+            attach(long, wide.drop("size"), keys, "inner", rows=state["rows"])
             .where("v <= hi")
             .groupBy(*keys, "n", "i", "p", "lo", "hi")
             .agg(
@@ -123,7 +126,6 @@ def _edges(
             f"if(new_lo = lo and new_hi = hi, 0, inside * {KEPT_STEPS / steps}D) as size",
         )
         targets = cut_lineage(targets.where(F.col("size") <= direct_rows).unionByName(narrower))
-    return targets.select(*keys, "n", "i", "lo", "hi")
 
 
 def exact_modes(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -77,17 +77,19 @@ def attach(
     on: list[str],
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Join a derived table (unique in ``on``) to a fact table.
 
     The derived side is stored once and counted. At or below ``max_rows`` it is
     broadcast; above, the join is left to the planner (sort-merge, with adaptive
-    splitting of hot keys), so no result depends on the bound.
+    splitting of hot keys), so no result depends on the bound. Pass ``rows`` where the side
+    is already stored, or literal, and its row count known.
     """
-    stored = cut_lineage(small)
-    if stored.count() <= max_rows:
-        stored = F.broadcast(stored)
-    return big.join(stored, on, how)
+    if rows is None:
+        small = cut_lineage(small)
+        rows = small.count()
+    return big.join(F.broadcast(small) if rows <= max_rows else small, on, how)
 
 
 def one_row(df: DataFrame) -> dict[str, Column]:
