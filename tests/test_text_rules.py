@@ -34,7 +34,7 @@ CASES = [
     ("chip", ph.chip_model,
      {"Snapdragon 8 Elite": "Snapdragon 8 elite", "Helio A22": "A22 Bionic", "SM8450": "M8450", "": "Unknown",
       None: "Unknown", "Helio G85": "Helio G85", "Tensor G3": "Tensor G3", "Unisoc T606": "Unisoc t606",
-      "Dimensity 7300 Ultra": "Dimensity 7300 ultra", "intel z3560": "Intel z3560", "chip  lạ": "chip lạ"}),
+      "Dimensity 7300 Ultra": "Dimensity 7300 ultra", "intel 3560 lite": "Intel 3560 ", "z3560": "Z356 0", "chip  lạ": "chip lạ"}),
     ("name", tx.clean_name, {"  A (x) B [y]  C ": "A B C", None: None}),
     ("chipset", tx.clean_chipset, {"Vân-tay (x) 8": "Vântay 8"}),
     ("connector", hp.connector,
