@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.numeric import no_nan, round_half_even
 from shelfwise.operators.quantiles import exact_modes, exact_quantiles
+from shelfwise.session import small_frame
 
 
 def value_counts(df: DataFrame, column: str, keep_missing: bool = False, by_value: bool = False) -> DataFrame:
@@ -157,8 +158,8 @@ def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
         .groupBy("pair")
         .agg(F.when(spread > 0, F.covar_pop("a", "b") / F.nullif(spread, F.lit(0.0))).alias("r"))
     )
-    names = df.sparkSession.createDataFrame(
-        [(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, x string, y string"
+    names = small_frame(
+        df.sparkSession, [(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, x string, y string"
     )
     return names.join(found, "pair", "left").select("x", "y", "r")
 

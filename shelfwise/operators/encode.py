@@ -16,7 +16,7 @@ from shelfwise.functions.numeric import no_nan
 from shelfwise.operators import lookup
 from shelfwise.operators.aggregate import top_values
 from shelfwise.operators.rows import drop_present
-from shelfwise.session import attach, cut_lineage, one_row
+from shelfwise.session import attach, cut_lineage, one_row, small_frame
 
 #: One-hot encoding refuses more levels than this: the table would grow a column for each.
 MAX_LEVELS = 1000
@@ -98,7 +98,7 @@ def dense_codes(levels: DataFrame, column: str, into: str) -> DataFrame:
     for part, size in sizes:
         starts.append((part, total))
         total += size
-    offsets = levels.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
+    offsets = small_frame(levels.sparkSession, starts, "_part bigint, _start bigint")
     return numbered.join(F.broadcast(offsets), "_part").select(
         column, (F.col("_start") + F.col("_m")).alias(into)
     )

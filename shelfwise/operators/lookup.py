@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import col
-from shelfwise.session import attach
+from shelfwise.session import attach, small_frame
 
 
 def backfill(
@@ -19,8 +19,9 @@ def backfill(
     if not isinstance(mapping, DataFrame):
         known = len(mapping)
         value_type = df.schema[target].dataType.simpleString()
-        mapping = df.sparkSession.createDataFrame(
-            list(mapping.items()), f"`{key}` {df.schema[key].dataType.simpleString()}, _fill {value_type}"
+        key_type = df.schema[key].dataType.simpleString()
+        mapping = small_frame(
+            df.sparkSession, list(mapping.items()), f"`{key}` {key_type}, _fill {value_type}"
         )
     else:
         mapping = mapping.toDF(key, "_fill")

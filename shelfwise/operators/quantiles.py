@@ -81,10 +81,10 @@ def _edges(
 
     A group small enough to be ranked as a whole has one row with i = -1 and no edges.
     """
-    grid = [j / steps for j in range(steps + 1)]
+    grid = ", ".join(f"{j / steps!r}D" for j in range(steps + 1))
 
     def sketch(value: str):
-        return F.percentile_approx(F.expr(value), grid, 10 * steps).alias("edge")
+        return F.expr(f"percentile_approx({value}, array({grid}), {10 * steps}) as edge")
 
     def around(below: str, size: str) -> list[str]:
         low = f"greatest(0, floor((floor(p * (n - 1)) - {below}) / {size} * {steps}) - 1)"

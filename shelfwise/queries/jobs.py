@@ -395,19 +395,23 @@ def _shop_sql():
 @query("x8_pages_to_products", _shop_sql())
 def _(spark, d):
     base, host = "https://shop.example", "shop.example"
-    listing = listing_pages(spark, d)
+    listing = hand_off(listing_pages(spark, d), "listing")
     # Every listing page appears again later, as search results repeat products.
     pages = listing.unionByName(listing.withColumn("page_no", F.col("page_no") + 1_000_000))
-    details = detail_pages(spark, d).select("url", "html")
+    pages_of = detail_pages(spark, d).withColumn("shop", F.floor(F.col("p_partkey") / LISTING_SIZE) % 3)
+
+    def details(shop):
+        return pages_of.where(F.col("shop") == shop).select("url", "html")
+
     keep = ("page_no",)
     links = pg.listing_rows_from_links(pages.where("shop = 'links'"), "links", base, host, keep=keep)
     blocks = pg.listing_rows_from_cards(pages.where("shop = 'blocks'"), "blocks", base, pg.BLOCK_LAYOUT, keep=keep)
     cards = pg.listing_rows_from_cards(pages.where("shop = 'cards'"), "cards", base, pg.CARD_LAYOUT, keep=keep)
     made = rows.union_by_name(
         [
-            shops.product_rows(links, details, True, ["page_no"]),
-            shops.product_rows(blocks, details, False, ["page_no"]),
-            shops.product_rows(cards, details, False, ["page_no"]),
+            shops.product_rows(links, details(0), True, ["page_no"]),
+            shops.product_rows(blocks, details(1), False, ["page_no"]),
+            shops.product_rows(cards, details(2), False, ["page_no"]),
         ]
     )
     return made.select(

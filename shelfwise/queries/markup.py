@@ -18,7 +18,7 @@ from shelfwise.sources.derived import (
     listing_pages,
     spec_texts_sql,
 )
-from shelfwise.sources.tables import table
+from shelfwise.sources.tables import spread, table
 
 TEXTS = spec_texts_sql()
 
@@ -40,7 +40,7 @@ _PAGE_LINES = f"(SELECT page_id, url, {LINES} AS lines FROM pages)"
     f"SELECT page_id, CAST(len(lines) AS INTEGER) AS n_lines, array_to_string(lines, chr(10)) AS body FROM {_PAGE_LINES}",
 )
 def _(spark, d):
-    lines = table(spark, d, "pages").select("page_id", mk.visible_lines("html").alias("lines"))
+    lines = spread(table(spark, d, "pages")).select("page_id", mk.visible_lines("html").alias("lines"))
     return lines.select("page_id", F.size("lines").alias("n_lines"), F.array_join("lines", "\n").alias("body"))
 
 
@@ -52,7 +52,7 @@ _FIRST_LINKS = f"(SELECT * FROM {_LINKS} QUALIFY row_number() OVER (PARTITION BY
 
 @query("g2_page_links", f"SELECT page_id, {unescape_sql('href')} AS href, {unescape_sql('label')} AS label FROM {_FIRST_LINKS}")
 def _(spark, d):
-    return table(spark, d, "pages").select("page_id", F.inline(mk.links("html")))
+    return spread(table(spark, d, "pages")).select("page_id", F.inline(mk.links("html")))
 
 
 @query(
@@ -66,7 +66,7 @@ def _(spark, d):
             row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS pos FROM {_FIRST_LINKS}))""",
 )
 def _(spark, d):
-    found = table(spark, d, "pages").select("page_id", F.posexplode(mk.links("html")).alias("pos", "link"))
+    found = spread(table(spark, d, "pages")).select("page_id", F.posexplode(mk.links("html")).alias("pos", "link"))
     href, kind = F.col("link.href"), F.col("pos") % 5
     varied = (
         F.when(kind == 0, href)
@@ -87,7 +87,7 @@ LABELS = ["©", "tion", "ier"]
         FROM {_PAGE_LINES}""",
 )
 def _(spark, d):
-    lines = table(spark, d, "pages").select("page_id", mk.visible_lines("html").alias("lines"))
+    lines = spread(table(spark, d, "pages")).select("page_id", mk.visible_lines("html").alias("lines"))
     return lines.select("page_id", mk.following_line("lines", LABELS).alias("result"))
 
 
@@ -236,7 +236,7 @@ def _(spark, d):
         section("Nội dung", row("text", F.col("text"))),
         section("Trống"),
     )
-    specs = table(spark, d, "documents").select("doc_id", F.explode(mk.sectioned_specs(html)).alias("s"))
+    specs = spread(table(spark, d, "documents")).select("doc_id", F.explode(mk.sectioned_specs(html)).alias("s"))
     return specs.select("doc_id", F.col("s.category").alias("category"), F.explode("s.details"))
 
 

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: A side is broadcast only after its rows were counted and found at or below this.
 BROADCAST_ROWS = 200_000
@@ -51,6 +54,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def small_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """Literal rows as a local relation, whose size the planner knows."""
+    types = spark.createDataFrame([], schema).schema
+    columns = list(zip(*rows)) if rows else [()] * len(types)
+    arrow = pa.table(
+        {f.name: pa.array(list(v), to_arrow_type(f.dataType)) for f, v in zip(types.fields, columns)}
+    )
+    return spark.createDataFrame(arrow, types)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Compute a frame once into reliable storage, so that losing executors costs nothing."""
     spark = df.sparkSession

@@ -10,6 +10,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal a scan's rows out when it has fewer splits than there are cores.
+
+    For heavy work per record (page markup, long texts) on few or unsplittable files. A
+    large input has more splits than cores, so there it adds no shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def part_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
     """``part`` with missing values set by a fixed rule on the key (the tables hold none)."""
     key = F.col("p_partkey")
