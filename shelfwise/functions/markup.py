@@ -34,6 +34,10 @@ NAMED_REFERENCES = {
     "&times;": "×",
 }
 
+_REFERENCE_TABLE = ", ".join(
+    f"""named_struct('name', '{name}', 'char', "{char.replace('"', chr(92) + '"')}")""" for name, char in NAMED_REFERENCES.items()
+)
+
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!doctype[^>]*>"
 TAG = r"<[a-zA-Z/!?][^>]*>"
 LINK = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)["']?[^>]*>(.*?)</a\s*>"""
@@ -56,10 +60,11 @@ def unescape(c: Column | str) -> Column:
         )
 
     def decoded(text: Column) -> Column:
-        out = F.when(text.contains("&#"), numeric(text)).otherwise(text)
-        for name, char in NAMED_REFERENCES.items():
-            out = F.replace(out, F.lit(name), F.lit(char))
-        return F.replace(out, F.lit("&amp;"), F.lit("&"))
+        named = F.aggregate(
+            F.expr(f"array({_REFERENCE_TABLE})"), text, lambda acc, r: F.replace(acc, r["name"], r["char"])
+        )
+        plain = F.when(text.contains("&#"), numeric(named)).otherwise(named)
+        return F.replace(plain, F.lit("&amp;"), F.lit("&"))
 
     return tx.let(col(c), lambda text: F.when(text.contains("&"), decoded(text)).otherwise(text))
 
