@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import importlib
-import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-SECTIONS = tuple(s for s in (
+SECTIONS = (
     "scans",
     "filters",
     "lookups",
@@ -23,7 +22,7 @@ SECTIONS = tuple(s for s in (
     "charts",
     "streams",
     "jobs",
-) if importlib.util.find_spec(f"shelfwise.queries.{s}"))
+)
 
 
 def query(name: str, sql: str | None = None):
