@@ -29,7 +29,7 @@ from shelfwise.llm.common import map_arrow
 
 _LETTER, _NUMBER, _SPACE, _OTHER = 0, 1, 2, 3
 #: Pre-tokens that a worker remembers; when full it starts afresh.
-MEMORY = 400_000
+MEMORY = 150_000
 _kept: dict = {}
 
 
@@ -227,7 +227,7 @@ def encode(documents: DataFrame, path: str, column: str = "text", ids: str = "id
 
     def run(batches):
         to_ids = _encoder(*shared.value)
-        for batch in A.chunks(batches, column):
+        for batch in A.chunks(batches, column, A.CHUNK_BYTES // 2):
             buf, offsets = A.text_bytes(batch.column(column))
             start, end = pre_tokens(buf, offsets)
             pieces, which = _distinct(buf, start, end)
@@ -255,7 +255,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", data: str = "decoded
         sizes = np.array([len(entry) for entry in ranked], dtype=np.int64)
         first = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join(ranked), dtype=np.uint8)
-        for batch in A.chunks(batches, ids):
+        for batch in A.chunks(batches, ids, A.CHUNK_BYTES // 2):
             raw, offsets = A.text_bytes(batch.column(ids))
             number = np.frombuffer(raw.tobytes(), dtype="<u4").astype(np.int64)
             if len(number) and number.max() >= len(ranked):

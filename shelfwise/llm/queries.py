@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import bpe, decontaminate
+from shelfwise.llm import bpe, decontaminate, pii, quality, secrets, toxicity
 from shelfwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,23 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_byte_bpe")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.op4_bpe(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+@query("op7_quality")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.op7_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.op8_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op5_secrets")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.op5_secrets(table(spark, folder, "documents"))
+
+
+@query("op9_pii")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.op9_pii(table(spark, folder, "documents"))
