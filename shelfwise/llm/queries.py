@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import bpe, decontaminate, pii, quality, secrets, toxicity
+from shelfwise.llm import bpe, decontaminate, jaccard, pii, quality, secrets, toxicity
 from shelfwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_pii")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return pii.op9_pii(table(spark, folder, "documents"))
+
+
+@query("op6_ngram_jaccard")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.op6_jaccard(table(spark, folder, "documents"))
