@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import bpe, decontaminate, jaccard, pii, quality, secrets, toxicity
+from shelfwise.llm import bpe, decontaminate, jaccard, pii, quality, secrets, substrings, toxicity
 from shelfwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_ngram_jaccard")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.op6_jaccard(table(spark, folder, "documents"))
+
+
+@query("op10_repeated_substrings")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.op10_repeats(table(spark, folder, "documents"))
