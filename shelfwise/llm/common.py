@@ -7,6 +7,8 @@ import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import shelfwise
 from shelfwise.session import hand_off
@@ -14,7 +16,9 @@ from shelfwise.sources.tables import table
 
 _shipped: set[str] = set()
 
-__all__ = ["hand_off", "ship", "table"]
+__all__ = ["extended", "hand_off", "map_arrow", "sample_texts", "ship", "table"]
+#: A text beyond this many bytes is left out of bounded samples to fit on (never out of scoring).
+SAMPLE_TEXT_BYTES = 1 << 18
 
 
 def ship(spark: SparkSession) -> None:
@@ -34,7 +38,25 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+def extended(df: DataFrame, more: str, without: tuple[str, ...] = ()) -> T.StructType:
+    """The frame's columns (but for ``without``), whatever their names, and those of a DDL text."""
+    return T.StructType([f for f in df.schema.fields if f.name not in without] + T.StructType.fromDDL(more).fields)
+
+
+def map_arrow(df: DataFrame, fn, schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with the package present on the executors."""
     ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
+
+
+def sample_texts(documents: DataFrame, most: int) -> list[str]:
+    """At most ``most`` distinct texts, those that come first by hash, in that order.
+
+    Only hashes are sorted; the texts are fetched below the last one's hash, copies once.
+    """
+    hashed = documents.where(F.octet_length("text") <= SAMPLE_TEXT_BYTES).select("text", F.xxhash64("text").alias("h"))
+    last = hashed.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    if last is None:
+        return []
+    rows = hashed.where(F.col("h") <= last).groupBy("h").agg(F.min("text").alias("text")).collect()
+    return [r["text"] for r in sorted(rows, key=lambda r: r["h"])][:most]

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm import arrays as A
-from shelfwise.llm.common import hand_off, map_arrow
+from shelfwise.llm.common import SAMPLE_TEXT_BYTES, extended, hand_off, map_arrow
 from shelfwise.llm.decontaminate import words_of
 
 CELL_BITS = 19
@@ -43,8 +43,8 @@ PRIOR = 0.05
 DRIFT = 0.1
 #: Segments below this surprise (negative natural log of their chance) are not significant.
 SIGNIFICANT = 1.0
-#: Rows to fit the calibration curve, at most; any more are left out by hash.
-FIT_ROWS = 20_000
+#: Labelled ids to learn from, at most; any more are left out by hash.
+FIT_ROWS = 30_000
 
 
 def fold(doc_id: str | Column = "doc_id") -> Column:
@@ -52,14 +52,20 @@ def fold(doc_id: str | Column = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 if isinstance(doc_id, str) else doc_id
 
 
-def labelled(documents: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, text, label) of the rows that may be learned from."""
+def labelled(documents: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """(doc_id, text, label) for at most ``most`` ids that may be learned from, first by hash.
+
+    The ids' number is bounded, so they are broadcast and the texts need no shuffle.
+    """
     known = (
         labels.where(F.col(label).isNotNull() & (fold() != 0))
         .groupBy("doc_id")
         .agg(F.max(F.col(label)).cast("int").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(most)
     )
-    return documents.where(fold() != 0).select("doc_id", "text").join(known, "doc_id")
+    texts = documents.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_TEXT_BYTES)
+    return texts.select("doc_id", "text").join(F.broadcast(known), "doc_id")
 
 
 def _tokens(buf: np.ndarray, start: np.ndarray, end: np.ndarray):
@@ -174,11 +180,11 @@ def _surprise(score: float, rate: float, n: int) -> float:
     return -math.log(-math.expm1(-expected)) if expected > 1e-12 else rate * score - math.log(n)
 
 
-def _scan(table: np.ndarray, rate: float):
-    """Map function from texts to their surprise and significant segments."""
+def _scan(table, rate: float, texts: bool = False):
+    """Map function from texts to their surprise and significant segments; ``texts``: they stay."""
 
     def run(batches):
-        scores = table.value if hasattr(table, "value") else table
+        scores = table.value
         for batch in A.chunks(batches):
             buf, offsets, start, end = words_of(batch.column("text"))
             gain = _gains(scores, buf, start, end)
@@ -201,11 +207,11 @@ def _scan(table: np.ndarray, rate: float):
                         )
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(c for c, name in zip(batch.columns, batch.schema.names) if name != "text"),
+                    *(batch.column(n) for n in batch.schema.names if texts or n != "text"),
                     pa.array(surprise),
                     pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("surprise", pa.float64())]))),
                 ],
-                names=[*(n for n in batch.schema.names if n != "text"), "surprise", "segments"],
+                names=[*(n for n in batch.schema.names if texts or n != "text"), "surprise", "segments"],
             )
 
     return run
@@ -236,7 +242,7 @@ class Model:
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Model:
-    rows = hand_off(labelled(documents, labels, "toxic"), "toxic-labels")
+    rows = hand_off(labelled(documents, labels, "toxic", FIT_ROWS), "toxic-labels")
     counted = map_arrow(rows.where(fold() != 4).select("text", "label"), _count_words, "cell long, toxic long, other long")
     counts = counted.groupBy("cell").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toPandas()
     toxic, other = np.zeros(CELLS), np.zeros(CELLS)
@@ -248,9 +254,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     spread = calm.groupBy("score").agg(F.sum("n").alias("n")).toPandas()
     rate = decay(spread["score"].to_numpy(), spread["n"].to_numpy(dtype=float)) if len(spread) else 1.0
     held = map_arrow(rows.where(fold() == 4).select("label", "text"), _scan(shared, rate), f"label int, {_FOUND}")
-    # A bounded sample for two parameters: the rows that come first by hash.
-    sample = held.select("label", "surprise", F.xxhash64("surprise", "label", F.monotonically_increasing_id()).alias("h"))
-    fit: pd.DataFrame = sample.orderBy("h").limit(FIT_ROWS).select("label", "surprise").toPandas()
+    fit: pd.DataFrame = held.select("label", "surprise").limit(FIT_ROWS).toPandas()
     y = (fit["label"] == 1).to_numpy(dtype=float)
     if not len(y) or y.min() == y.max():
         share = float(toxic.sum() > 0) * (y.mean() if len(y) else 0.0)
@@ -258,15 +262,22 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     return Model(table, rate, *fit_curve(np.log1p(fit["surprise"].to_numpy()), y))
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """The rows with ``surprise``, ``segments`` (significant ones) and ``score`` (chance to be toxic)."""
+def score(documents: DataFrame, model: Model, texts: bool = False) -> DataFrame:
+    """The rows (with ``texts``: and their text) with ``surprise``, significant ``segments`` and ``score``, the chance to be toxic."""
     shared = documents.sparkSession.sparkContext.broadcast(model.table)
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields if f.name != "text"]
-    found = map_arrow(documents, _scan(shared, model.rate), ", ".join([*kept, _FOUND]))
+    found = map_arrow(documents, _scan(shared, model.rate, texts), extended(documents, _FOUND, () if texts else ("text",)))
     logit = F.log1p("surprise") * model.slope + model.intercept
     return found.withColumn("score", 1 / (1 + F.exp(-logit)))
 
 
+def without_toxic(documents: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
+    """The documents, columns as they are, whose score is below ``limit``."""
+    others = F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != "text"])
+    scored = score(documents.select(others.alias("row"), "text"), train(documents, labels), texts=True)
+    kept = scored.where(F.col("score") < limit)
+    return kept.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in documents.columns])
+
+
 def op8_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     model = train(documents, labels)
     return score(documents.select("doc_id", "text"), model).select(
