@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm import arrays as A
-from shelfwise.llm.common import map_arrow
+from shelfwise.llm.common import extended, map_arrow
 from shelfwise.llm.toxicity import fold, labelled
 
 FILTERS, WIDTH, STRIDE = 24, 6, 3
@@ -170,8 +170,10 @@ def fit(texts: list[bytes], y: np.ndarray, rounds: int = ROUNDS) -> Net:
 
 def train(documents: DataFrame, labels: DataFrame) -> Net:
     """Fit on the labelled rows (never the held-out fold) that come first by hash."""
-    rows = labelled(documents, labels, "quality").select(F.col("text").cast("binary").alias("text"), "label", F.xxhash64("doc_id").alias("h"))
-    sample = rows.orderBy("h", "text").limit(FIT_ROWS).select("text", "label").toPandas()
+    rows = labelled(documents, labels, "quality", FIT_ROWS).select("doc_id", F.col("text").cast("binary").alias("text"), "label")
+    # Rows that share an id teach once.
+    sample = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")).toPandas()
+    sample = sample.sort_values("doc_id")
     if not len(sample):
         net = Net()
         net.w2[:] = 0
@@ -194,8 +196,7 @@ def score(documents: DataFrame, net: Net) -> DataFrame:
             keep = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(p)], names=[*keep, "score"])
 
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields if f.name != "text"]
-    return map_arrow(documents, run, ", ".join([*kept, "score double"]))
+    return map_arrow(documents, run, extended(documents, "score double", ("text",)))
 
 
 def op7_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
