@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm import arrays as A
-from shelfwise.llm.common import map_arrow
+from shelfwise.llm.common import extended, map_arrow
 
 _LETTER, _NUMBER, _SPACE, _OTHER = 0, 1, 2, 3
 #: Pre-tokens that a worker remembers; when full it starts afresh.
@@ -242,8 +242,7 @@ def encode(documents: DataFrame, path: str, column: str = "text", ids: str = "id
                 [*batch.columns, _binary(out.view(np.uint8), 4 * bounds).cast(pa.binary())], names=[*batch.schema.names, ids]
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    return map_arrow(documents, run, f"{schema}, `{ids}` binary")
+    return map_arrow(documents, run, extended(documents, f"`{ids}` binary"))
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", data: str = "decoded") -> DataFrame:
@@ -266,8 +265,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", data: str = "decoded
                 [*batch.columns, _binary(out, ends[offsets // 4]).cast(pa.binary())], names=[*batch.schema.names, data]
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return map_arrow(encoded, run, f"{schema}, `{data}` binary")
+    return map_arrow(encoded, run, extended(encoded, f"`{data}` binary"))
 
 
 def op4_bpe(documents: DataFrame, path: str) -> DataFrame:

@@ -185,6 +185,16 @@ def contamination(documents: DataFrame, benchmark: DataFrame, span: int = SPAN,
     )
 
 
+def without_contaminated(documents: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """The documents, columns as they are, that share no span with the benchmark.
+
+    Rows are matched by doc_id and text hash, so of rows that share an id each counts by its text.
+    """
+    keyed = documents.select(F.struct("doc_id", F.xxhash64("text")).alias("doc_id"), "text")
+    gone = contamination(keyed, benchmark, span, gram).where("n_hit > 0").select(F.col("doc_id").alias("_key")).distinct()
+    return documents.join(gone, F.struct("doc_id", F.xxhash64("text")).eqNullSafe(F.col("_key")), "left_anti")
+
+
 def op1_decontamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The digest columns of ``contamination``."""
     found = contamination(documents, benchmark)

@@ -265,5 +265,25 @@ def link_groups(documents: DataFrame, n: int = SHINGLE, similar: int = SIMILAR)
     )
 
 
+def one_of_each(documents: DataFrame, n: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
+    """The documents, columns as they are, that stand for their group: the least doc_id's row.
+
+    Of rows that share that doc_id the one with the least text hash stays, once; rows without
+    doc_id or without words stay as they are.
+    """
+    groups = link_groups(documents, n, similar)
+    key = F.xxhash64("text")
+    alone = F.col("doc_id").isNull() | (F.coalesce(F.length(F.trim(F.translate("text", "\t\n\x0b\x0c\r", "     "))), F.lit(0)) == 0)
+    worded = documents.where(~alone)
+    heads = groups.where("n_shingles > 0 and doc_id = component_id").select("doc_id").distinct()
+    kept = worded.join(heads, "doc_id", "left_semi")
+    least = worded.groupBy("doc_id").agg(F.min(key).alias("_h"), F.count("*").alias("_m"))
+    repeated = least.where("_m > 1").select(F.col("doc_id").alias("_id"), "_h")
+    # Ids are unique in almost any table; only repeated ones need a choice.
+    once = kept.join(repeated, F.col("doc_id") == F.col("_id"), "left_anti")
+    chosen = kept.join(repeated, (F.col("doc_id") == F.col("_id")) & (key == F.col("_h")), "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(chosen).unionByName(documents.where(alone))
+
+
 def op6_jaccard(documents: DataFrame) -> DataFrame:
     return link_groups(documents).select("doc_id", "n_shingles", "component_id", "copies")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import bpe, decontaminate, jaccard, pii, quality, secrets, substrings, toxicity
+from shelfwise.llm import bpe, decontaminate, hilbert, jaccard, licenses, pii, quality, secrets, substrings, toxicity
 from shelfwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,27 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.op1_decontamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query(
+    "op2_hilbert_neighbours",
+    """
+    WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    ok AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(e, lambda x: x <> 0)) > 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_cosine_similarity(q.e, c.e) AS score
+          FROM ok q, ok c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+    SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+    """,
+)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return hilbert.op2_neighbours(table(spark, folder, "embeddings"))
+
+
+@query("op3_license_scan")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.op3_licenses(table(spark, folder, "documents"))
+
+
 @query("op4_byte_bpe")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.op4_bpe(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))

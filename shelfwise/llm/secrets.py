@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm import arrays as A
-from shelfwise.llm.common import map_arrow, ship
+from shelfwise.llm.common import extended, map_arrow, sample_texts, ship
 from shelfwise.llm.spans import Span, finder, schema
 
 KINDS = ["assign", "access", "hex"]
@@ -183,10 +183,8 @@ def labelled(buf: np.ndarray, offsets: np.ndarray, base: list[list[Span]], start
 def train(documents: DataFrame) -> tuple[dict, np.ndarray]:
     """Network and a threshold per kind (above 1: the kind adds nothing)."""
     ship(documents.sparkSession)
-    hashed = documents.where("text is not null").select("text", F.xxhash64("text").alias("h"))
-    # Texts with digit runs or signs come first: most texts hold no candidate at all.
-    rich = hashed.where(F.col("text").rlike(r"[A-Za-z0-9+/_.=-]{16}"))
-    rows = rich.orderBy("h", "text").limit(FIT_TEXTS).select("text").toPandas()["text"].tolist()
+    # Most texts hold no candidate at all; only those with a long run of key characters teach.
+    rows = sample_texts(documents.where(F.col("text").rlike(r"[A-Za-z0-9+/_.=-]{16}")), FIT_TEXTS)
     codes, labels = [], []
     for text in rows:
         data = text.encode()
@@ -239,32 +237,33 @@ def scan(documents: DataFrame, model: tuple[dict, np.ndarray] | None = None) ->
                 out[d].append((int(s[c]), int(over[c].argmax()), int(e[c])))
         return out
 
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields if f.name != "text"]
-    return map_arrow(documents, finder(KINDS, base_spans, added), ", ".join([*kept, schema(KINDS)]))
+    return map_arrow(documents, finder(KINDS, base_spans, added), extended(documents, schema(KINDS), ("text",)))
 
 
 def redact(documents: DataFrame, model: tuple[dict, np.ndarray] | None = None, mark: str = "[SECRET]") -> DataFrame:
     """The documents, columns as they are, with every found span of ``text`` replaced by ``mark``."""
-    found = scan(documents.withColumn("_text", F.col("text")), model)
+    others = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    found = scan(documents.select(others.alias("row"), "text"), model)
+    whole = F.col("row.text")
     parts = F.transform(
-        F.filter(F.split("spans", ","), lambda s: s != ""),
+        F.split("spans", ","),
         lambda s: F.struct(F.split(s, ":")[1].cast("int").alias("a"), F.split(s, ":")[2].cast("int").alias("b")),
     )
-    # Spans come by start and may overlap: keep what lies between the furthest end so far and the next start.
+    # Spans come by start and may overlap: a mark stands for each stretch that they cover together.
     left = F.aggregate(
         parts,
         F.struct(F.lit("").alias("out"), F.lit(0).alias("end")),
         lambda acc, s: F.struct(
             F.when(
-                s["a"] >= acc["end"],
-                F.concat(acc["out"], F.substring(F.col("_text"), acc["end"] + 1, s["a"] - acc["end"]), F.lit(mark)),
+                (s["a"] > acc["end"]) | (acc["end"] == 0),
+                F.concat(acc["out"], F.substring(whole, acc["end"] + 1, s["a"] - acc["end"]), F.lit(mark)),
             ).otherwise(acc["out"]).alias("out"),
             F.greatest(acc["end"], s["b"]).alias("end"),
         ),
-        lambda acc: F.concat(acc["out"], F.substring(F.col("_text"), acc["end"] + 1, F.length(F.col("_text")))),
+        lambda acc: F.concat(acc["out"], F.substring(whole, acc["end"] + 1, F.length(whole))),
     )
-    text = F.when(F.col("spans") == "", F.col("_text")).otherwise(left)
-    return found.withColumn("text", text).select(*[F.col(f"`{c}`") for c in documents.columns])
+    text = F.when(F.col("spans") == "", whole).otherwise(left)
+    return found.select(*[text.alias("text") if c == "text" else F.col(f"row.`{c}`") for c in documents.columns])
 
 
 def op5_secrets(documents: DataFrame) -> DataFrame:
