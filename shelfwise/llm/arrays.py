@@ -114,6 +114,17 @@ def range_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return _mixed(h + (end - start).astype(np.uint64) * _ODD)
 
 
+def gram_hashes(buf: np.ndarray, size: int) -> np.ndarray:
+    """``range_hashes`` of every ``size`` bytes in a row; size - 1 shorter."""
+    if len(buf) < size:
+        return np.zeros(0, dtype=np.uint64)
+    sums = prefix_hashes(buf)
+    h = sums[size:] - sums[:-size]
+    h *= powers(len(sums))[1][: len(h)]
+    h += np.uint64(size * int(_ODD) % (1 << 64))
+    return _mixed(h)
+
+
 def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of every n consecutive values of ``words`` (order counts); n - 1 shorter."""
     count = len(words) - n + 1

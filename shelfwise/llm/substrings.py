@@ -43,6 +43,9 @@ GRAM = 28
 #: Text bytes for each bucket, while there are at most this many buckets; beyond, up to ROOMY.
 TIGHT, MANY, ROOMY = 1 << 20, 4096, 1 << 24
 
+#: Text bytes of a chunk (a longer document is a chunk of its own).
+PACKED = 3 << 19
+
 _SPAN = LENGTH - GRAM  # an anchor stands at most this far into a window
 _CONTEXT = _SPAN + LENGTH
 _BITS = 1 << np.arange(_SPAN + 1, dtype=np.int64)
@@ -82,7 +85,7 @@ def pack(documents: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches):
         number = TaskContext.get().partitionId() << 32
-        for batch in A.chunks(batches):
+        for batch in A.chunks(batches, limit=PACKED):
             buf, offsets = A.text_bytes(batch.column("text"))
             ids = batch.column("doc_id")
             known = ~np.asarray(ids.is_null())
@@ -110,6 +113,12 @@ def pack(documents: DataFrame, buckets: int) -> DataFrame:
     return spark.table(name)
 
 
+def _rows(batch: pa.RecordBatch):
+    """Rows one at a time: a batch holds many chunks, a task looks at one."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
+
+
 def _chunk(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     buf = np.frombuffer(row["text"], dtype=np.uint8)
     ids, offsets = np.frombuffer(row["ids"], dtype="<i8"), np.frombuffer(row["offsets"], dtype="<i8")
@@ -122,8 +131,7 @@ def anchors(buf: np.ndarray, offsets: np.ndarray, known: np.ndarray):
     n = len(buf) - LENGTH + 1
     if n <= 0:
         return empty
-    at = np.arange(len(buf) - GRAM + 1)
-    h = A.range_hashes(A.prefix_hashes(buf), at, at + GRAM)
+    h = A.gram_hashes(buf, GRAM)
     least = A.sliding_min(h, _SPAN + 1)
     room = np.where(known, np.maximum(np.diff(offsets) - LENGTH + 1, 0), 0)
     valid = np.zeros(n, dtype=bool)
@@ -160,7 +168,7 @@ def _name_table(names: np.ndarray, owner: np.ndarray):
 def _send_names(dealing: Dealing):
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 buf, offsets, _, known = _chunk(row)
                 place, h, _ = anchors(buf, offsets, known)
                 names, several, _ = _name_table(dealing.names(h), A.owners(place, offsets))
@@ -201,7 +209,7 @@ def _send_windows(dealing: Dealing):
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 buf, offsets, ids, known = _chunk(row)
                 place, h, mask = anchors(buf, offsets, known)
                 names, _, which = _name_table(dealing.names(h), A.owners(place, offsets))
@@ -299,7 +307,7 @@ def _removed(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray,
 def _kept(texts: bool):
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 buf, offsets, ids, known, gone = _removed(row)
                 total = np.concatenate(([0], np.cumsum(gone)))
                 start, _ = A.runs(gone, offsets)

@@ -35,6 +35,13 @@ def test_equal_ranges_have_equal_hashes():
     assert h[0] == h[1] and len(set(h.tolist())) == 4
 
 
+def test_gram_hashes_are_range_hashes():
+    buf = np.frombuffer(b"the quick brown fox", dtype=np.uint8)
+    at = np.arange(len(buf) - 4)
+    assert (A.gram_hashes(buf, 5) == A.range_hashes(A.prefix_hashes(buf), at, at + 5)).all()
+    assert len(A.gram_hashes(buf, 50)) == 0
+
+
 def test_sliding_min_and_windows():
     values = np.array([5, 3, 8, 1, 9, 2], dtype=np.uint64)
     for width in range(1, 7):
