@@ -6,7 +6,9 @@ tag of its own name, so an element nested in one of the same name is cut there.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,56 +17,59 @@ from shelfwise.functions import specs as sp
 from shelfwise.functions import text as tx
 from shelfwise.functions.text import col
 
-# Named character references.
-NAMED_REFERENCES = {
-    "&nbsp;": " ",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&copy;": "©",
-    "&reg;": "®",
-    "&trade;": "™",
-    "&middot;": "·",
-    "&bull;": "•",
-    "&ndash;": "–",
-    "&mdash;": "—",
-    "&hellip;": "…",
-    "&euro;": "€",
-    "&times;": "×",
-}
-
-_REFERENCE_TABLE = ", ".join(
-    f"""named_struct('name', '{name}', 'char', "{char.replace('"', chr(92) + '"')}")""" for name, char in NAMED_REFERENCES.items()
-)
-
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!doctype[^>]*>"
 TAG = r"<[a-zA-Z/!?][^>]*>"
-LINK = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)["']?[^>]*>(.*?)</a\s*>"""
-HREF = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)"""
+# An attribute's value: in double quotes, in single ones, or bare up to blank or end of tag.
+_VALUE = r"""(?:"([^"]*)"|'([^']*)'|([^"'\s>][^\s>]*))"""
+_INSIDE = r"""(?:[^>"']|"[^"]*"|'[^']*')*?"""
+#: A link tag with its address in one of three groups; its text goes up to </a>, the next <a or the end.
+LINK = rf"""(?is)<a\b(?={_INSIDE}\shref\s*=\s*{_VALUE})(?:[^>"']|"[^"]*"|'[^']*')*>(.*?)(?=</a\s*>|<a\b|\z)"""
+HREF = rf"""(?is)^<a\b{_INSIDE}\shref\s*=\s*{_VALUE}"""
+
+
+#: Characters 0x80 to 0x9F of that code page; the five it leaves out stand for themselves.
+WINDOWS_1252 = "".join(
+    chr(b) if b in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else bytes([b]).decode("windows-1252") for b in range(0x80, 0xA0)
+)
+
+
+def _character(name: Column) -> Column:
+    """What a reference (without & and ;) stands for; NULL for a name that is not one."""
+    known = F.from_json(F.lit(json.dumps({k[:-1]: v for k, v in html5.items() if k.endswith(";")})), "map<string, string>")
+    hexadecimal = name.rlike("^#[xX]")
+    digits = F.regexp_replace(name, "^#[xX]?0*", "")
+    # More than seven digits are beyond the last character in either notation.
+    number = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10))
+    code = F.when(F.length(digits) > 7, F.lit(0x110000)).otherwise(F.coalesce(number.try_cast("int"), F.lit(0)))
+
+    def written(c: Column) -> Column:
+        wide = F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32")
+        return (
+            F.when((c == 0) | c.between(0xD800, 0xDFFF) | (c > 0x10FFFF), F.lit("\ufffd"))
+            # Browsers read this range as Windows-1252.
+            .when(c.between(0x80, 0x9F), F.substr(F.lit(WINDOWS_1252), c - 0x7F, F.lit(1)))
+            .otherwise(wide)
+        )
+
+    return F.when(name.startswith("#"), tx.let(code, written)).otherwise(F.try_element_at(known, name))
 
 
 def unescape(c: Column | str) -> Column:
-    """Named references of the table above and decimal references to characters."""
-
-    def numeric(text: Column) -> Column:
-        codes = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(\d{1,7});"), F.lit(1)))
-        return F.aggregate(
-            codes,
-            text,
-            lambda acc, code: F.replace(
-                acc,
-                F.concat(F.lit("&#"), code, F.lit(";")),
-                F.decode(F.unhex(F.lpad(F.hex(code.cast("int")), 8, "0")), "UTF-32"),
-            ),
+    """Character references to characters in one pass from left to right.
+
+    All public names and decimal and hexadecimal numbers, each closed by a semicolon; numbers
+    that stand for no character become U+FFFD; anything else stays as it is written.
+    """
+
+    def piece(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);", 1)
+        return F.coalesce(
+            F.concat(_character(F.nullif(name, F.lit(""))), F.substr(part, F.length(name) + 2)), F.concat(F.lit("&"), part)
         )
 
     def decoded(text: Column) -> Column:
-        named = F.aggregate(
-            F.expr(f"array({_REFERENCE_TABLE})"), text, lambda acc, r: F.replace(acc, r["name"], r["char"])
-        )
-        plain = F.when(text.contains("&#"), numeric(named)).otherwise(named)
-        return F.replace(plain, F.lit("&amp;"), F.lit("&"))
+        parts = F.split(text, "&", -1)
+        return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""))
 
     return tx.let(col(c), lambda text: F.when(text.contains("&"), decoded(text)).otherwise(text))
 
@@ -90,6 +95,11 @@ def visible_lines(html: Column | str) -> Column:
     return tx.non_blank_lines(unescape(F.regexp_replace(shown(html), TAG, "\n")))
 
 
+def href(tag: Column | str) -> Column:
+    """Address of the link tag that the text begins with; empty without one."""
+    return unescape(F.concat(*[F.regexp_extract(col(tag), HREF, k) for k in (1, 2, 3)]))
+
+
 def links(html: Column | str) -> Column:
     """ARRAY<STRUCT<href, label>>; of a repeated address only the first is kept."""
 
@@ -98,8 +108,9 @@ def links(html: Column | str) -> Column:
         return F.filter(both, lambda x, i: F.array_position(hrefs, x["href"]) == i + 1)
 
     def of_page(page: Column) -> Column:
-        labels = F.transform(F.regexp_extract_all(page, F.lit(LINK), F.lit(2)), inline_text)
-        hrefs = F.transform(F.regexp_extract_all(page, F.lit(LINK), F.lit(1)), unescape)
+        labels = F.transform(F.regexp_extract_all(page, F.lit(LINK), F.lit(4)), inline_text)
+        forms = F.arrays_zip(*[F.regexp_extract_all(page, F.lit(LINK), F.lit(k)).alias(f"v{k}") for k in (1, 2, 3)])
+        hrefs = F.transform(forms, lambda v: unescape(F.concat(v["v1"], v["v2"], v["v3"])))
         return tx.let(hrefs, lambda found: first_of_each(found, labels))
 
     return tx.let(shown(html), of_page)

@@ -29,7 +29,7 @@ def to_number(c: Column | str) -> Column:
 
 
 def truncate(c: Column | str) -> Column:
-    return col(c).cast("long")
+    return col(c).try_cast("long")
 
 
 def ratio_in_millions(amount: Column | str, per: Column | str) -> Column:
@@ -66,7 +66,7 @@ def largest_integer(c: Column | str) -> Column:
 
 def clock_text(seconds: Column | str) -> Column:
     """Seconds as HH:MM:SS; fractions are cut and negatives count as zero."""
-    whole = F.greatest(col(seconds).cast("long"), F.lit(0))
+    whole = F.greatest(col(seconds).try_cast("long"), F.lit(0))
     return F.format_string(
         "%02d:%02d:%02d", F.expr("1") * F.floor(whole / 3600), F.floor(whole % 3600 / 60), whole % 60
     )

@@ -60,7 +60,7 @@ def screen_tech(c: Column | str) -> Column:
 
 def refresh_hz(own: Column | str, second: Column | str) -> Column:
     """Hertz from the rate label (with or without unit), else from the screen standard."""
-    stated = F.coalesce(extract(own, HERTZ).try_cast("int"), to_number(own).cast("int"))
+    stated = F.coalesce(extract(own, HERTZ).try_cast("int"), to_number(own).try_cast("int"))
     return F.when(tx.some(own).isNotNull(), stated).otherwise(extract(second, HERTZ).try_cast("int"))
 
 

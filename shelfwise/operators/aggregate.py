@@ -12,10 +12,15 @@ from shelfwise.operators.quantiles import exact_modes, exact_quantiles
 from shelfwise.session import small_frame
 
 
+def counted(df: DataFrame, column: str, keep_missing: bool = False) -> DataFrame:
+    """(value, n) in no order."""
+    rows = df if keep_missing else df.where(F.col(column).isNotNull())
+    return rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+
+
 def value_counts(df: DataFrame, column: str, keep_missing: bool = False, by_value: bool = False) -> DataFrame:
     """(value, n), most frequent first; equal counts in value order."""
-    rows = df if keep_missing else df.where(F.col(column).isNotNull())
-    counts = rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    counts = counted(df, column, keep_missing)
     return counts.orderBy("value") if by_value else counts.orderBy(F.desc("n"), F.asc("value"))
 
 
@@ -24,11 +29,11 @@ def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
 
 
 def frequent_values(df: DataFrame, column: str, at_least: int) -> DataFrame:
-    return value_counts(df, column).where(F.col("n") >= at_least)
+    return counted(df, column).where(F.col("n") >= at_least)
 
 
 def rare_values(df: DataFrame, column: str, below: int) -> DataFrame:
-    return value_counts(df, column).where(F.col("n") < below)
+    return counted(df, column).where(F.col("n") < below)
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -18,9 +18,6 @@ from shelfwise.operators.aggregate import top_values
 from shelfwise.operators.rows import drop_present
 from shelfwise.session import attach, cut_lineage, one_row, small_frame
 
-#: One-hot encoding refuses more levels than this: the table would grow a column for each.
-MAX_LEVELS = 1000
-
 
 def group_rare(df: DataFrame, column: str, k: int, into: str, other: str = "Other") -> DataFrame:
     """Keep the k most frequent levels; everything else, and missing, becomes ``other``."""
@@ -32,18 +29,20 @@ def group_rare(df: DataFrame, column: str, k: int, into: str, other: str = "Othe
     )
 
 
-def levels_of(df: DataFrame, column: str, max_levels: int = MAX_LEVELS) -> list[str]:
-    """Sorted present levels. More than ``max_levels`` is an error, never a cut."""
-    found = (
-        df.where(F.col(column).isNotNull())
-        .select(F.col(column).cast("string").alias("level"))
-        .distinct()
-        .limit(max_levels + 1)
-        .collect()
-    )
-    if len(found) > max_levels:
-        raise ValueError(f"{column} has more than {max_levels} levels; group rare ones first")
-    return sorted(r["level"] for r in found)
+def levels_of(df: DataFrame, column: str) -> list[str]:
+    """Sorted present levels, one name each: what a table with a column per level has in its header."""
+    found = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("level")).distinct()
+    return sorted(r["level"] for r in found.collect())
+
+
+def one_hot_long(df: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, code, level): the ones of a one-hot table, row by row, for any number of levels.
+
+    Nothing is fetched; codes number the sorted levels from 0. Rows without a value have none.
+    """
+    present = df.where(F.col(column).isNotNull()).select(key, F.col(column).cast("string").alias("level"))
+    coded = dense_codes(present.select("level").distinct(), "level", "code")
+    return attach(present, coded, ["level"], "inner").select(key, F.col("code").cast("long").alias("code"), "level")
 
 
 def one_hot(

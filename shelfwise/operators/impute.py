@@ -28,17 +28,18 @@ def fill_median(df: DataFrame, column: str) -> DataFrame:
 
 
 def quantile_bands(
-    df: DataFrame, column: str, labels: Sequence[str], into: str, key: Column | None = None
+    df: DataFrame, column: str, labels: Sequence[str], into: str, merge_equal: bool = False
 ) -> DataFrame:
     """Equal-count bands: interpolated edges, right-closed, lowest value included.
 
-    Equal neighbouring edges are an error, as the bands would not be defined.
+    Equal neighbouring edges leave bands between them without values. That is an error, unless
+    ``merge_equal`` says that a value on equal edges takes the first of their bands.
     """
     k = len(labels)
     value = F.col(column).cast("double")
     edges = one_row(exact_quantiles(df, [column], [i / k for i in range(k + 1)]))
     distinct = F.lit(True)
-    for i in range(k):
+    for i in range(0 if merge_equal else k):
         distinct = distinct & (edges[f"q{i}"] < edges[f"q{i + 1}"])
     chain = F.when(value.isNull(), F.lit(None)).when(
         ~distinct, F.raise_error(F.lit(f"band edges of {column} are not unique")).cast("string")

@@ -15,18 +15,18 @@ def backfill(
     df: DataFrame, key: str, target: str, mapping: Mapping[str, object] | DataFrame
 ) -> DataFrame:
     """Fill ``target`` from a (key -> value) mapping, only where it is missing."""
-    known = None
-    if not isinstance(mapping, DataFrame):
-        known = len(mapping)
+    literal = not isinstance(mapping, DataFrame)
+    if literal:
         value_type = df.schema[target].dataType.simpleString()
         key_type = df.schema[key].dataType.simpleString()
         mapping = small_frame(
             df.sparkSession, list(mapping.items()), f"`{key}` {key_type}, _fill {value_type}"
         )
     else:
-        mapping = mapping.toDF(key, "_fill")
+        # A repeated key must not repeat rows: its greatest value fills.
+        mapping = mapping.toDF(key, "_fill").groupBy(key).agg(F.max("_fill").alias("_fill"))
     order = df.columns
-    filled = attach(df, mapping, [key], "left", rows=known)
+    filled = attach(df, mapping, [key], "left", stored=literal)
     return filled.withColumn(target, F.coalesce(target, "_fill")).select(*order)
 
 

@@ -65,7 +65,7 @@ def listing_rows_from_links(
         *keep,
         segments.alias("_s"),
         F.transform(
-            segments, lambda s: absolute_url(base, mk.unescape(F.regexp_extract(s, mk.HREF, 1)))
+            segments, lambda s: absolute_url(base, mk.href(s))
         ).alias("_u"),
     )
     starts = F.filter(
@@ -125,12 +125,12 @@ def listing_rows_from_cards(
 ) -> DataFrame:
     """Product rows of pages made of product cards, with the traits their names tell."""
     cards = pages.select(*keep, F.explode(mk.split_before(mk.shown(html), layout.card)).alias("card"))
-    href = tx.some(F.regexp_extract("card", mk.LINK, 1))
+    href = tx.some(F.get(mk.links("card"), F.lit(0))["href"])
     link_text = F.get(mk.element_texts("card", mk.opening_tag("a")), F.lit(0))
     name = F.coalesce(F.get(mk.element_texts("card", layout.name), F.lit(0)), link_text)
     price = F.get(mk.element_texts("card", layout.price), F.lit(0))
     rows = cards.where(href.isNotNull()).select(
-        *keep, *_row(source, absolute_url(base, mk.unescape(href)), name, price)
+        *keep, *_row(source, absolute_url(base, href), name, price)
     )
     return rows.withColumns({"brand": hp.brand_guess("name"), **hp.name_traits("name", "other")})
 
@@ -185,7 +185,9 @@ def merge_details(rows: DataFrame, details: DataFrame, overwrite_empty: bool) ->
         if n not in base.columns:
             base = base.withColumn(n, F.lit(None).cast(kind))
     names = base.columns
-    joined = base.join(details.withColumn("_page", F.lit(True)), "url", "left")
+    # Copies of a page must not repeat its product: of several readings the greatest counts.
+    told_once = details.groupBy("url").agg(F.max(F.struct(*[c for c in details.columns if c != "url"])).alias("_told"))
+    joined = base.join(told_once.select("url", "_told.*", F.lit(True).alias("_page")), "url", "left")
     visited = F.coalesce(F.col("_page"), F.lit(False))
     if not overwrite_empty:
         told = {n: F.coalesce(tx.some(f"page_{n}"), F.col(n)) for n in SPEC_FIELDS[:2]}

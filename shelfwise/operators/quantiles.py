@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.session import attach, cut_lineage
+from shelfwise.session import attach, hand_off
 
 #: A group, or what is left of it between two edges, is ranked directly up to this size.
 DIRECT_ROWS = 1_000_000
@@ -47,10 +47,10 @@ def exact_quantiles(
     keys = [*by, "metric"]
     quoted = ", ".join(f"`{k}`" for k in keys)
     long = melt_numeric(df, columns, by)
-    targets, n_targets = _edges(long, keys, probs, direct_rows, steps)
+    targets = _edges(long, keys, probs, direct_rows, steps)
 
     counted = (
-        attach(long, targets, keys, "inner", rows=n_targets)
+        attach(long, targets, keys, "inner", stored=True)
         .where("hi is null or v <= hi")
         .selectExpr(*keys, "n", "i", "if(lo is null or v >= lo, v, null) as v")
         .groupBy(*keys, "n", "i", "v")
@@ -76,8 +76,8 @@ def exact_quantiles(
 
 def _edges(
     long: DataFrame, keys: Sequence[str], probs: Sequence[float], direct_rows: int, steps: int
-) -> tuple[DataFrame, int]:
-    """(keys..., n, i, lo, hi), and its row count: values around the i-th probability's rank.
+) -> DataFrame:
+    """(keys..., n, i, lo, hi), stored: values around the i-th probability's rank.
 
     A group small enough to be ranked as a whole has one row with i = -1 and no edges.
     """
@@ -93,7 +93,7 @@ def _edges(
 
     ranks = ", ".join(f"named_struct('i', {i}, 'p', {p!r}D)" for i, p in enumerate(probs))
     whole = "array(named_struct('i', -1, 'p', 0D))"
-    targets = cut_lineage(
+    targets = hand_off(
         long.groupBy(*keys)
         .agg(F.count("*").alias("n"), sketch("v"))
         .selectExpr(*keys, "n", "edge", f"inline(if(n > {direct_rows}, array({ranks}), {whole}))")
@@ -102,15 +102,15 @@ def _edges(
             *keys, "n", "i", "p",
             "if(i < 0, null, new_lo) as lo", "if(i < 0, null, new_hi) as hi",
             f"if(i < 0, 0, n * {KEPT_STEPS / steps}D) as size",
-        )
+        ),
+        "edges",
     )
     while True:
-        state = targets.agg(F.count("*").alias("rows"), F.max("size").alias("size")).first()
-        if (state["size"] or 0) <= direct_rows:
-            return targets.select(*keys, "n", "i", "lo", "hi"), state["rows"]
+        if (targets.agg(F.max("size")).first()[0] or 0) <= direct_rows:
+            return targets.select(*keys, "n", "i", "lo", "hi")
         wide = targets.where(F.col("size") > direct_rows)
         measured = (
-            attach(long, wide.drop("size"), keys, "inner", rows=state["rows"])
+            attach(long, wide.drop("size"), keys, "inner", stored=True)
             .where("v <= hi")
             .groupBy(*keys, "n", "i", "p", "lo", "hi")
             .agg(
@@ -125,7 +125,7 @@ def _edges(
             *keys, "n", "i", "p", "new_lo as lo", "new_hi as hi",
             f"if(new_lo = lo and new_hi = hi, 0, inside * {KEPT_STEPS / steps}D) as size",
         )
-        targets = cut_lineage(targets.where(F.col("size") <= direct_rows).unionByName(narrower))
+        targets = hand_off(targets.where(F.col("size") <= direct_rows).unionByName(narrower), "edges")
 
 
 def exact_modes(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -40,6 +40,7 @@ def clean_and_impute(features: DataFrame, order: Sequence[str]) -> DataFrame:
         "_price",
         fx.SEGMENT_LABELS,
         "_segment",
+        merge_equal=True,
     )
     filled = impute.fill_group_medians(by_price, "_segment", ["ram"], min_values=3).drop("_price", "_segment")
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from shelfwise.operators import aggregate as agg
+from shelfwise.operators.quantiles import exact_quantiles
 from shelfwise.queries import query
 from shelfwise.queries.sql import ORDERS_GAPS, PART_GAPS, union_all
 from shelfwise.sources.tables import orders_with_gaps, part_with_gaps, table
@@ -259,3 +260,18 @@ def _(spark, d):
     frequent = agg.frequent_values(part, "p_name", 30).withColumn("kind", F.lit("frequent"))
     rare = agg.rare_values(part, "p_name", 30).withColumn("kind", F.lit("rare"))
     return frequent.unionByName(rare)
+
+
+@query(
+    "a6_quantiles_narrowed",
+    """SELECT l_returnflag, metric, count(*) AS n, round(quantile_cont(v, 0.1), 6) AS q0, round(quantile_cont(v, 0.5), 6) AS q1,
+        round(quantile_cont(v, 0.999), 6) AS q2
+        FROM (SELECT l_returnflag, 'l_extendedprice' AS metric, l_extendedprice::DOUBLE AS v FROM lineitem
+              UNION ALL SELECT l_returnflag, 'l_quantity', l_quantity::DOUBLE FROM lineitem) GROUP BY ALL""",
+)
+def _(spark, d):
+    """The path of large groups, taken for any size: edges are narrowed until few rows lie between."""
+    found = exact_quantiles(
+        table(spark, d, "lineitem"), ["l_extendedprice", "l_quantity"], [0.1, 0.5, 0.999], ["l_returnflag"], direct_rows=100, steps=50
+    )
+    return rounded(found.select("l_returnflag", "metric", "n", "q0", "q1", "q2"), ["q0", "q1", "q2"])

@@ -191,6 +191,15 @@ def _(spark, d):
     return scaled.select(*keys, *[F.round(c, 6).alias(c) for c in SCALED])
 
 
+@query(
+    "e2_one_hot_long",
+    """SELECT o_orderkey, dense_rank() OVER (ORDER BY CAST(o_custkey AS VARCHAR)) - 1 AS code,
+        CAST(o_custkey AS VARCHAR) AS level FROM orders WHERE o_custkey IS NOT NULL""",
+)
+def _(spark, d):
+    return encode.one_hot_long(table(spark, d, "orders"), "o_orderkey", "o_custkey")
+
+
 @query("e11_two_components")
 def _(spark, d):
     lines = table(spark, d, "lineitem")

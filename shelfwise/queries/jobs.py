@@ -217,7 +217,16 @@ _HEADPHONES = {
     "connection": "connection_text",
     "battery_life_hours": "CASE p_size % 3 WHEN 0 THEN CAST(p_size % 6 AS STRING) WHEN 1 THEN CAST(p_size AS STRING) || ' giờ' END",
     "weight_gram": "CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS STRING) || '.5' END",
+    "driver_size_mm": "CASE WHEN p_size % 4 <> 1 THEN CAST(p_size % 12 AS STRING) END",
+    "impedance_ohm": "CAST(p_size * 2 AS STRING)",
+    "sensitivity_db": "CASE WHEN p_size % 5 = 0 THEN 'n/a' ELSE CAST(90 + p_size % 20 AS STRING) END",
+    "has_anc": "CAST(CASE WHEN p_partkey % 4 = 0 THEN 1 END AS INTEGER)",
+    "water_resistant": "CAST(p_partkey % 2 AS INTEGER)",
+    "warranty_months": "CASE WHEN p_size % 7 > 0 THEN '12' END",
+    "rating": "'4.5'",
+    "num_reviews": "CAST(p_partkey % 300 AS STRING)",
 }
+_OPTIONAL = list(_HEADPHONES)[-8:]
 SHOP_PREFIXES = ["shop_0", "shop_1", "shop_2"]
 
 
@@ -231,7 +240,9 @@ def _headphone_folder(spark, d):
         for stamp, rows_ in (("20240101", mine.where("p_partkey % 2 = 0")), ("20240301", mine)):
             # A single sorted file per shop keeps "first" the same in both engines' eyes.
             ordered = rows_.repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey")
-            writers.write_fixed(ordered, f"{folder}/shop_{shop}_{stamp}_080000")
+            # The shops' files differ in order: the last one's columns come from behind.
+            names = [*fx.HEADPHONE_COLUMNS, *_OPTIONAL]
+            writers.write_fixed(ordered, f"{folder}/shop_{shop}_{stamp}_080000", names[::-1] if shop == 2 else names)
     return folder
 
 
@@ -243,6 +254,10 @@ def headphone_steps():
     s.then(
         """SELECT * REPLACE (coalesce(is_gaming, 0) AS is_gaming, coalesce(has_mic, 0) AS has_mic,
            TRY_CAST(battery_life_hours AS DOUBLE) AS battery_life_hours, TRY_CAST(weight_gram AS DOUBLE) AS weight_gram,
+           coalesce(has_anc, 0) AS has_anc, coalesce(water_resistant, 0) AS water_resistant,
+           TRY_CAST(driver_size_mm AS DOUBLE) AS driver_size_mm, TRY_CAST(impedance_ohm AS DOUBLE) AS impedance_ohm,
+           TRY_CAST(sensitivity_db AS DOUBLE) AS sensitivity_db, TRY_CAST(warranty_months AS DOUBLE) AS warranty_months,
+           TRY_CAST(rating AS DOUBLE) AS rating, TRY_CAST(num_reviews AS DOUBLE) AS num_reviews,
            CASE WHEN trim(connection) = '' OR length(trim(connection)) > 20 THEN NULL WHEN contains(connection, '3.5') THEN '3.5mm'
              WHEN regexp_matches(lower(connection), 'type c|usb.c') THEN 'Type C' WHEN starts_with(lower(trim(connection)), 'usb') THEN 'USB-A'
              WHEN regexp_matches(lower(connection), 'bluetooth|wireless') THEN 'Bluetooth' END AS connection)
@@ -253,14 +268,15 @@ def headphone_steps():
         """SELECT * REPLACE (CAST(coalesce(connection = 'Bluetooth', false) AS INTEGER) AS is_wireless,
              greatest(is_gaming, CAST(coalesce(contains(lower(type), 'gaming'), false) AS INTEGER)) AS is_gaming),
            CAST(coalesce(regexp_matches(lower(type), 'true wireless|tws'), false) AS INTEGER) AS is_tws,
-           price_vnd / 1e6 / nullif(battery_life_hours, 0) AS price_per_battery_hour FROM @"""
+           price_vnd / 1e6 / nullif(battery_life_hours, 0) AS price_per_battery_hour,
+           price_vnd / 1e6 / nullif(driver_size_mm, 0) AS price_per_driver_mm FROM @"""
     )
     return s
 
 
 _HEADPHONE_NUMBERS = [
     "price_vnd", "is_gaming", "is_wireless", "has_mic", "is_tws", "battery_life_hours", "weight_gram",
-    "price_per_battery_hour",
+    "price_per_battery_hour", "price_per_driver_mm", *_OPTIONAL,
 ]
 
 

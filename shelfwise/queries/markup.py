@@ -1,5 +1,7 @@
 """Page text (G) and the steps built on it (P16, W8, M5, M6, F32)."""
 
+from html.entities import html5
+
 from pyspark.sql import functions as F
 
 from shelfwise import fixed_values as fx
@@ -18,14 +20,18 @@ from shelfwise.sources.derived import (
     listing_pages,
     spec_texts_sql,
 )
-from shelfwise.sources.tables import spread, table
+from shelfwise.sources.tables import spread, table, width
 
 TEXTS = spec_texts_sql()
 
 
+#: Names that the given pages use; SQL has no decoder, so it replaces these one by one.
+_NAMES = "nbsp lt gt quot apos copy reg trade middot bull ndash mdash hellip euro times".split()
+
+
 def unescape_sql(x):
-    for name, char in mk.NAMED_REFERENCES.items():
-        x = f"replace({x}, '{name}', '{char.replace(chr(39), chr(39) * 2)}')"
+    for name in _NAMES:
+        x = f"replace({x}, '&{name};', '{html5[name + ';'].replace(chr(39), chr(39) * 2)}')"
     return f"replace({x}, '&amp;', '&')"
 
 
@@ -40,7 +46,7 @@ _PAGE_LINES = f"(SELECT page_id, url, {LINES} AS lines FROM pages)"
     f"SELECT page_id, CAST(len(lines) AS INTEGER) AS n_lines, array_to_string(lines, chr(10)) AS body FROM {_PAGE_LINES}",
 )
 def _(spark, d):
-    lines = spread(table(spark, d, "pages")).select("page_id", mk.visible_lines("html").alias("lines"))
+    lines = spread(table(spark, d, "pages"), width(spark)).select("page_id", mk.visible_lines("html").alias("lines"))
     return lines.select("page_id", F.size("lines").alias("n_lines"), F.array_join("lines", "\n").alias("body"))
 
 
@@ -52,7 +58,7 @@ _FIRST_LINKS = f"(SELECT * FROM {_LINKS} QUALIFY row_number() OVER (PARTITION BY
 
 @query("g2_page_links", f"SELECT page_id, {unescape_sql('href')} AS href, {unescape_sql('label')} AS label FROM {_FIRST_LINKS}")
 def _(spark, d):
-    return spread(table(spark, d, "pages")).select("page_id", F.inline(mk.links("html")))
+    return spread(table(spark, d, "pages"), width(spark)).select("page_id", F.inline(mk.links("html")))
 
 
 @query(
@@ -66,7 +72,7 @@ def _(spark, d):
             row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS pos FROM {_FIRST_LINKS}))""",
 )
 def _(spark, d):
-    found = spread(table(spark, d, "pages")).select("page_id", F.posexplode(mk.links("html")).alias("pos", "link"))
+    found = spread(table(spark, d, "pages"), width(spark)).select("page_id", F.posexplode(mk.links("html")).alias("pos", "link"))
     href, kind = F.col("link.href"), F.col("pos") % 5
     varied = (
         F.when(kind == 0, href)
@@ -87,7 +93,7 @@ LABELS = ["©", "tion", "ier"]
         FROM {_PAGE_LINES}""",
 )
 def _(spark, d):
-    lines = spread(table(spark, d, "pages")).select("page_id", mk.visible_lines("html").alias("lines"))
+    lines = spread(table(spark, d, "pages"), width(spark)).select("page_id", mk.visible_lines("html").alias("lines"))
     return lines.select("page_id", mk.following_line("lines", LABELS).alias("result"))
 
 
@@ -236,7 +242,7 @@ def _(spark, d):
         section("Nội dung", row("text", F.col("text"))),
         section("Trống"),
     )
-    specs = spread(table(spark, d, "documents")).select("doc_id", F.explode(mk.sectioned_specs(html)).alias("s"))
+    specs = spread(table(spark, d, "documents"), width(spark)).select("doc_id", F.explode(mk.sectioned_specs(html)).alias("s"))
     return specs.select("doc_id", F.col("s.category").alias("category"), F.explode("s.details"))
 
 

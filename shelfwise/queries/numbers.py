@@ -9,7 +9,7 @@ from shelfwise.functions import text as tx
 from shelfwise.queries import query
 from shelfwise.queries.sql import strip
 from shelfwise.sources.derived import nested_catalog, spec_texts, spec_texts_sql
-from shelfwise.sources.tables import spread, table
+from shelfwise.sources.tables import spread, table, width
 
 TEXTS = spec_texts_sql()
 
@@ -91,7 +91,7 @@ def _(spark, d):
         FROM documents""",
 )
 def _(spark, d):
-    return spread(table(spark, d, "documents")).select("doc_id", nm.largest_integer("text").alias("result"))
+    return spread(table(spark, d, "documents"), width(spark)).select("doc_id", nm.largest_integer("text").alias("result"))
 
 
 @query(
@@ -171,7 +171,7 @@ def _(spark, d):
         FROM documents""",
 )
 def _(spark, d):
-    return spread(table(spark, d, "documents")).select("doc_id", tx.cell_value("text").alias("result"))
+    return spread(table(spark, d, "documents"), width(spark)).select("doc_id", tx.cell_value("text").alias("result"))
 
 
 @query(

@@ -12,7 +12,7 @@ from shelfwise.functions.specs import merged_specs
 from shelfwise.queries import query
 from shelfwise.queries.sql import strip
 from shelfwise.sources.derived import PHONE_NAME, nested_catalog, spec_texts, spec_texts_sql
-from shelfwise.sources.tables import spread, table
+from shelfwise.sources.tables import spread, table, width
 
 TEXTS = spec_texts_sql()
 
@@ -39,7 +39,7 @@ def over_texts(name, sql, build, *more):
 def over_documents(name, sql, build):
     @query(name, f"SELECT doc_id, {sql} AS result FROM documents")
     def _(spark, d):
-        return spread(table(spark, d, "documents")).select("doc_id", build().alias("result"))
+        return spread(table(spark, d, "documents"), width(spark)).select("doc_id", build().alias("result"))
 
 
 FIRST = [r"version\s+([\d.]+)", r"(\d+)\s*(?:hz|mp|gb)", r"(\d[\d.,-]*)", r"(?:^|\s)(l\w+)\s"]
@@ -71,7 +71,7 @@ over_texts(
     "SELECT page_id, " + strip(sql_extract("html", r"[\d.,]+\s*[đ₫]?", 0)) + " AS result FROM pages",
 )
 def _(spark, d):
-    return spread(table(spark, d, "pages")).select("page_id", tx.price_fragment("html").alias("result"))
+    return spread(table(spark, d, "pages"), width(spark)).select("page_id", tx.price_fragment("html").alias("result"))
 
 
 over_texts(
@@ -328,7 +328,7 @@ def _(spark, d):
 def over_pages(name, sql, build):
     @query(name, f"SELECT page_id, {sql} AS result FROM pages")
     def _(spark, d):
-        return spread(table(spark, d, "pages")).select("page_id", build().alias("result"))
+        return spread(table(spark, d, "pages"), width(spark)).select("page_id", build().alias("result"))
 
 
 over_pages("f31_slug", "replace(split_part(url, '/', -1), '.html', '')", lambda: urls.slug("url"))
@@ -347,7 +347,7 @@ over_pages(
 )
 def _(spark, d):
     words = F.concat_ws(" ", "lang", "source", F.lit("tai nghe"))
-    return spread(table(spark, d, "documents")).select(
+    return spread(table(spark, d, "documents"), width(spark)).select(
         "doc_id", urls.search_url("https://shop.example", "/search", words).alias("result")
     )
 

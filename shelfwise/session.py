@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-#: A side is broadcast only after its rows were counted and found at or below this.
-BROADCAST_ROWS = 200_000
+
+_scopes: list[str] = []
 
 
 def build_session(app: str = "shelfwise", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,19 +34,13 @@ def build_session(app: str = "shelfwise", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can see, as the cluster names it.
 
-    Only a local master may fall back to a temporary folder; on a cluster a missing
-    setting is an error, because a machine-local folder would lose data.
+    Without that setting it lies in the session's warehouse, which is shared by definition;
+    a machine-local temporary folder is never used.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    existing = spark.sparkContext.getCheckpointDir()
-    if existing:
-        return existing
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfwise-"))
-    return spark.sparkContext.getCheckpointDir()
+    if _scopes:
+        return _scopes[-1]
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -54,6 +48,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A scope for hand-offs: what is stored inside is deleted at its end, also after an error.
+
+    Results of the scope have to be written or fetched before it ends.
+    """
+    folder = scratch_path(spark, "scope")
+    _scopes.append(folder)
+    try:
+        yield folder
+    finally:
+        _scopes.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
     """Literal rows as a local relation, whose size the planner knows."""
     types = spark.createDataFrame([], schema).schema
@@ -84,25 +94,14 @@ def hand_off(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def attach(
-    big: DataFrame,
-    small: DataFrame,
-    on: list[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-    rows: int | None = None,
-) -> DataFrame:
+def attach(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", stored: bool = False) -> DataFrame:
     """Join a derived table (unique in ``on``) to a fact table.
 
-    The derived side is stored once and counted. At or below ``max_rows`` it is
-    broadcast; above, the join is left to the planner (sort-merge, with adaptive
-    splitting of hot keys), so no result depends on the bound. Pass ``rows`` where the side
-    is already stored, or literal, and its row count known.
+    The derived side is written once, so the planner knows its bytes and broadcasts it by its
+    own threshold; beyond that it is a sort-merge join whose hot keys adaptive execution splits.
+    ``stored`` says that the side is a stored table, or literal rows, already.
     """
-    if rows is None:
-        small = cut_lineage(small)
-        rows = small.count()
-    return big.join(F.broadcast(small) if rows <= max_rows else small, on, how)
+    return big.join(small if stored else hand_off(small, "side"), on, how)
 
 
 def one_row(df: DataFrame) -> dict[str, Column]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.sources.tables import spread, table
+from shelfwise.sources.tables import spread, table, width
 
 _S = "CAST(p_size AS STRING)"
 _K = "CAST(p_partkey AS STRING)"
@@ -62,7 +62,7 @@ PHONE_NAME = (
 
 def spec_texts(spark: SparkSession, folder: str) -> DataFrame:
     """``part`` with one specification text per kind."""
-    return spread(table(spark, folder, "part")).select(
+    return spread(table(spark, folder, "part"), width(spark)).select(
         "p_partkey", "p_name", "p_size", *[F.expr(e).alias(n) for n, e in SPEC_TEXTS.items()]
     )
 

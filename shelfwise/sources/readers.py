@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,11 @@ HEADPHONE_SCHEMA = (
     "type string, is_gaming int, is_wireless int, has_mic int, connection string, "
     "battery_life_hours string, weight_gram string"
 )
+#: Columns that a headphone file may have besides.
+HEADPHONE_OPTIONAL = (
+    "driver_size_mm string, impedance_ohm string, sensitivity_db string, has_anc int, water_resistant int, "
+    "warranty_months string, rating string, num_reviews string"
+)
 
 CALL_SCHEMA = (
     "lat string, lng string, `desc` string, zip string, title string, timeStamp string, "
@@ -49,15 +54,44 @@ CALL_SCHEMA = (
 
 
 def read_csv(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, multi_line: bool = False
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType | str,
+    multi_line: bool = False,
+    required: Sequence[str] = (),
+    extra: bool = False,
+    corrupt: str | None = None,
 ) -> DataFrame:
-    """CSV with header. ``multi_line`` allows line breaks in cells, at the price of unsplittable files.
+    """CSV with header, its columns matched by name. Paths of a list may differ in their columns.
 
-    The header is matched by position, so read with the file's own column order.
+    Columns that a file lacks are NULL, or an error if ``required``; columns beyond the schema
+    come as text with ``extra`` and are left out otherwise. Within one path all files must have one
+    header; another one is an error. ``corrupt`` names a column for lines that cannot be read
+    as typed. ``multi_line`` allows line breaks in cells, at the price of unsplittable files.
     """
-    return spark.read.schema(schema).csv(
-        path, header=True, multiLine=multi_line, escape='"', mode="PERMISSIVE", encoding="UTF-8"
-    )
+    wanted = spark.createDataFrame([], schema).schema
+    options = dict(header=True, multiLine=multi_line, escape='"', encoding="UTF-8")
+    frames = []
+    for one in [path] if isinstance(path, str) else path:
+        found = spark.read.csv(one, **options).columns
+        missing = [c for c in required if c not in found]
+        if missing:
+            raise ValueError(f"{one} lacks the columns {', '.join(missing)}")
+        types = {f.name: f.dataType for f in wanted.fields}
+        own = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in found])
+        if corrupt:
+            own = own.add(corrupt, T.StringType())
+        read = spark.read.schema(own).csv(
+            one, mode="PERMISSIVE", enforceSchema=bool(corrupt), columnNameOfCorruptRecord=corrupt, **options
+        )
+        # The scan's hidden file columns stay reachable: only names and order change.
+        kept = [F.col(f"`{f.name}`") if f.name in found else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted.fields]
+        kept += [F.col(f"`{c}`") for c in found if extra and c not in types]
+        frames.append(read.select(*kept, *([corrupt] if corrupt else [])))
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out
 
 
 def with_origin(df: DataFrame) -> DataFrame:
@@ -86,6 +120,13 @@ def read_links(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return read_csv(spark, path, f"`{LINK_COLUMN}` string")
 
 
+def belongs(entry: str, prefix: str) -> Column:
+    """Is the entry the prefix itself, or the prefix and then no further letter or digit?"""
+    name = F.col(entry)
+    after = F.substr(name, F.lit(len(prefix) + 1), F.lit(1))
+    return name.startswith(prefix) & (F.lit(not prefix[-1:].isalnum()) | ~after.rlike(r"^[\p{L}\p{N}]"))
+
+
 def latest_paths(spark: SparkSession, folder: str, prefixes: Sequence[str], suffix: str = ".csv") -> dict[str, str]:
     """Newest entry per prefix of a raw folder, by name (names carry a timestamp).
 
@@ -93,16 +134,20 @@ def latest_paths(spark: SparkSession, folder: str, prefixes: Sequence[str], suff
     prefix reaches the driver.
     """
     root = folder.rstrip("/")
+    mark = F.lit(root.split(":")[-1] + "/")
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{suffix}")
         .load(root)
-        .select(F.split_part(F.element_at(F.split("path", root.split(":")[-1] + "/"), -1), F.lit("/"), F.lit(1)).alias("entry"))
+        .select(F.split_part(F.substr("path", F.instr("path", mark) + F.length(mark)), F.lit("/"), F.lit(1)).alias("entry"))
     )
     newest = listed.agg(
-        *[F.max(F.when(F.col("entry").startswith(p), F.col("entry"))).alias(f"p{i}") for i, p in enumerate(prefixes)]
+        *[F.max(F.when(belongs("entry", p), F.col("entry"))).alias(f"p{i}") for i, p in enumerate(prefixes)],
+        F.count("*").alias("files"),
     ).first()
+    if newest["files"] and not any(newest[i] for i in range(len(prefixes))):
+        raise ValueError(f"{folder} has {newest['files']} {suffix} files, but none of {', '.join(prefixes)}")
     return {p: f"{root}/{newest[i]}" for i, p in enumerate(prefixes) if newest[i] is not None}
 
 

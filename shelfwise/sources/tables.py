@@ -10,14 +10,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal a scan's rows out when it has fewer splits than there are cores.
+def spread(scan: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal a scan's rows out to so many partitions, if the caller asks for it.
 
-    For heavy work per record (page markup, long texts) on few or unsplittable files. A
-    large input has more splits than cores, so there it adds no shuffle.
+    For heavy work per record (page markup, long texts) on few or unsplittable files; the
+    default leaves the scan as it is.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan if partitions is None else scan.repartition(partitions)
+
+
+def width(spark: SparkSession) -> int:
+    """The session's parallelism, for callers that want their rows dealt out."""
+    return spark.sparkContext.defaultParallelism
 
 
 def part_with_gaps(spark: SparkSession, folder: str) -> DataFrame:

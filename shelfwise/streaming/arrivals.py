@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.operators.rows import keep_first
-from shelfwise.session import attach
+from shelfwise.sources.readers import belongs
 
 ORDER = ["source_rank", "origin_file", "origin_offset", "origin_row"]
 
@@ -28,6 +28,7 @@ def arrivals_stream(
         spark.readStream.schema(schema)
         .option("header", True)
         .option("escape", '"')
+        .option("enforceSchema", False)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
@@ -37,11 +38,11 @@ def arrivals_stream(
             F.col("_metadata.file_block_start").alias("origin_offset"),
         )
     )
-    root = folder.rstrip("/").split(":")[-1] + "/"
-    entry = F.split_part(F.element_at(F.split("origin_file", root), -1), F.lit("/"), F.lit(1))
-    rank = F.coalesce(
-        *[F.when(F.col("entry").startswith(p), F.lit(i)) for i, p in enumerate(prefixes)]
-    )
+    mark = F.lit(folder.rstrip("/").split(":")[-1] + "/")
+    # File names come as addresses; a plus in them is a plus.
+    plain = F.url_decode(F.replace(F.col("origin_file"), F.lit("+"), F.lit("%2B")))
+    entry = F.split_part(F.substr(plain, F.instr(plain, mark) + F.length(mark)), F.lit("/"), F.lit(1))
+    rank = F.coalesce(*[F.when(belongs("entry", p), F.lit(i)) for i, p in enumerate(prefixes)])
 
     def append(batch: DataFrame, batch_id: int) -> None:
         (
@@ -49,8 +50,11 @@ def arrivals_stream(
             .withColumn("entry", entry)
             .withColumn("source_rank", rank)
             .where("source_rank is not null")
+            .withColumn("batch", F.lit(batch_id))
             .write.mode("overwrite")
-            .parquet(f"{log}/batch={batch_id}")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("source_rank", "entry", "batch")
+            .parquet(log)
         )
 
     return (
@@ -62,16 +66,23 @@ def arrivals_stream(
 
 
 def merged(spark: SparkSession, log: str, schema: str, key: str) -> DataFrame:
-    """The newest entry per source, first row per key in source order."""
+    """The newest entry per source, first row per key in source order.
+
+    The log is partitioned by source and entry: the newest entries are found from partition names
+    (one per source reaches the driver), and only they are read.
+    """
     full = T.StructType(
         [
             *spark.createDataFrame([], schema).schema.fields,
             *spark.createDataFrame(
-                [], "origin_file string, origin_offset bigint, origin_row bigint, entry string, source_rank int"
+                [], "origin_file string, origin_offset bigint, origin_row bigint, source_rank int, entry string, batch bigint"
             ).schema.fields,
         ]
     )
     rows = spark.read.schema(full).parquet(log)
-    newest = rows.groupBy("source_rank").agg(F.max("entry").alias("entry"))
-    latest = attach(rows, newest, ["source_rank", "entry"], "left_semi")
-    return keep_first(latest, [key], ORDER)
+    names = rows.select("source_rank", "entry").distinct()
+    newest = names.groupBy("source_rank").agg(F.max("entry").alias("entry")).collect()
+    wanted = F.lit(False)
+    for r in newest:
+        wanted = wanted | ((F.col("source_rank") == r["source_rank"]) & (F.col("entry") == r["entry"]))
+    return keep_first(rows.where(wanted).drop("batch"), [key], ORDER)

@@ -1,9 +1,12 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise import session
 from shelfwise.operators import aggregate as agg
-from shelfwise.operators import charts, encode, lookup, rows
+from shelfwise.operators import charts, encode, impute, lookup, rows
 from shelfwise.session import attach
 from shelfwise.sources.tables import table
 
@@ -35,13 +38,17 @@ def test_upsert_prefers_success_then_latest(spark):
     assert got == {"a": "y", "b": "q"}
 
 
-@pytest.mark.parametrize("bound", [0, 1000])
+@pytest.mark.parametrize("bound", ["-1", "10m"])
 def test_attach_gives_the_same_rows_with_and_without_broadcast(spark, folder, bound):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
     parts = table(spark, folder, "part")
     counts = parts.groupBy("p_brand").agg(F.count("*").alias("n"))
-    joined = attach(parts, counts, ["p_brand"], "left", max_rows=bound)
+    joined = attach(parts, counts, ["p_brand"], "left")
     assert joined.count() == parts.count()
     assert joined.where("n is null").count() == 0
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == (bound != "-1")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_keyword_filter_keeps_missing_names(spark):
@@ -77,14 +84,40 @@ def test_density_matches_the_definition(spark):
     np.testing.assert_allclose([r.density for r in got], want, rtol=1e-9)
 
 
-def test_one_hot_rows_sum_to_at_most_one_and_refuse_too_many_levels(spark, folder):
+def test_one_hot_rows_sum_to_at_most_one(spark, folder):
     parts = table(spark, folder, "part").select("p_partkey", F.nullif("p_type", F.lit("PROMO")).alias("p_type"))
     wide = encode.one_hot(parts, ["p_type"])
     flags = [c for c in wide.columns if c != "p_partkey"]
     assert flags == [f"p_type_{t}" for t in ["LARGE", "MEDIUM", "SMALL", "STANDARD"]]
     assert wide.select(F.max(sum(F.col(c) for c in flags))).first()[0] == 1
-    with pytest.raises(ValueError, match="levels"):
-        encode.levels_of(parts, "p_partkey", max_levels=10)
+
+
+def test_long_one_hot_takes_any_number_of_levels(spark):
+    df = spark.createDataFrame([(k, f"v{k % 1500:04d}" if k % 7 else None) for k in range(4000)], "k int, v string")
+    got = encode.one_hot_long(df, "k", "v").collect()
+    assert len(got) == sum(k % 7 > 0 for k in range(4000))
+    names = sorted({r.level for r in got})
+    assert all(names[r.code] == r.level for r in got) and len(names) > 1000
+
+
+def test_repeated_keys_do_not_repeat_rows(spark):
+    df = spark.createDataFrame([("a", None), ("b", "x"), ("c", None)], "k string, v string")
+    fill = spark.createDataFrame([("a", "1"), ("a", "2"), ("a", None)], "k string, f string")
+    got = {r.k: r.v for r in lookup.backfill(df, "k", "v", fill).collect()}
+    assert got == {"a": "2", "b": "x", "c": None}
+
+
+def test_equal_band_edges_can_be_merged(spark):
+    df = spark.createDataFrame([(float(v),) for v in [5] * 20 + [1, 9]], "v double")
+    got = {(r.v, r.b) for r in impute.quantile_bands(df, "v", ["low", "mid", "high"], "b", merge_equal=True).collect()}
+    assert got == {(1.0, "low"), (5.0, "low"), (9.0, "high")}
+
+
+def test_scratch_scope_leaves_nothing(spark):
+    with session.scratch(spark) as folder:
+        stored = session.hand_off(spark.range(10), "part")
+        assert stored.count() == 10 and os.path.exists(folder)
+    assert not os.path.exists(folder)
 
 
 def test_label_codes_number_sorted_levels(spark):

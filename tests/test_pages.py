@@ -74,3 +74,21 @@ def test_table_and_section_specs(spark):
     row = df.select(mk.table_specs("a").alias("t"), mk.sectioned_specs("b").alias("s")).first()
     assert [(s.category, s.details) for s in row.t] == [("Thông tin chung", {"Mẫu": "A"}), ("Pin", {"Giờ": "5 | 7"})]
     assert [(s.category, s.details) for s in row.s] == [("Màn", {"k": "2"})]
+
+
+def test_references_decode_like_the_public_rules(spark):
+    import html
+
+    texts = [
+        "&amp;#65; &lt;b&gt; &eacute;&#233;&#xE9;&#x1F600; &#9999999; &#55357; &#0; &#99999999999; &nosuch; a & b &",
+        "&#150;&hellip;&nbsp;|", "none", "&copy;&#x110000;&&amp;",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(mk.unescape("t")).collect()] == [html.unescape(t) for t in texts]
+
+
+def test_links_in_all_quote_forms_and_unclosed(spark):
+    page = """<a href="/a b's.html">one</a><a href='/x"y'>two<a class=k href=/plain>three</a><a data-href="/no">no</a><a href="/last">four"""
+    df = spark.createDataFrame([(page,)], "t string")
+    got = [(x.href, x.label) for x in df.select(mk.links("t")).first()[0]]
+    assert got == [("/a b's.html", "one"), ('/x"y', "two"), ("/plain", "three"), ("/last", "four")]

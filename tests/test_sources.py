@@ -1,3 +1,6 @@
+import pytest
+
+from shelfwise.functions import phone
 from shelfwise.sources import readers, writers
 
 
@@ -21,10 +24,44 @@ def test_latest_file_per_prefix_and_missing_source(spark, tmp_path):
     assert {k: v.split("/")[-1] for k, v in found.items()} == {"a": "a_20240301.csv", "b": "b_20240201.csv"}
     rows = readers.read_latest(spark, str(tmp_path), ["a", "b", "z"], "k int, v string").collect()
     assert sorted((r.v, r.source_rank) for r in rows) == [("a_20240301.csv", 0), ("b_20240201.csv", 1)]
-    none = readers.read_latest(spark, str(tmp_path), ["z"], "k int, v string")
+    with pytest.raises(ValueError, match="none of z"):
+        readers.read_latest(spark, str(tmp_path), ["z"], "k int, v string")
+    (tmp_path / "empty").mkdir()
+    none = readers.read_latest(spark, str(tmp_path / "empty"), ["z"], "k int, v string")
     assert none.count() == 0 and "origin_row" in none.columns
 
 
+def test_folder_names_are_not_patterns_and_prefixes_are_whole(spark, tmp_path):
+    folder = tmp_path / "raw(1)"
+    folder.mkdir()
+    for name in ("shop_10_20240101.csv", "shop_2_20240101.csv"):
+        (folder / name).write_text(f"k,v\n1,{name}\n", encoding="utf-8")
+    found = readers.latest_paths(spark, str(folder), ["shop_1", "shop_2", "shop_10"])
+    assert sorted(found) == ["shop_10", "shop_2"]
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("url,source,more\nhttp://u,shop,x\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("source,url\nshop2,http://w\n", encoding="utf-8")
+    paths = [str(tmp_path / n) for n in ("a.csv", "b.csv")]
+    schema = "source string, url string, n int"
+    rows = sorted(tuple(r) for r in readers.read_csv(spark, paths, schema).collect())
+    assert rows == [("shop", "http://u", None), ("shop2", "http://w", None)]
+    wide = readers.read_csv(spark, paths, schema, extra=True)
+    assert wide.columns == ["source", "url", "n", "more"]
+    assert sorted(r.more or "" for r in wide.collect()) == ["", "x"]
+    with pytest.raises(ValueError, match="lacks the columns more"):
+        readers.read_csv(spark, paths, schema, required=["more"])
+    (tmp_path / "c.csv").write_text("source,n\ns,12\ns,twelve\n", encoding="utf-8")
+    kept = readers.read_csv(spark, str(tmp_path / "c.csv"), schema, corrupt="_bad").cache()
+    assert sorted((r.n or 0, r._bad) for r in kept.collect()) == [(0, "s,twelve"), (12, None)]
+
+
+def test_numbers_beyond_their_type_become_null(spark):
+    df = spark.createDataFrame([("99999999999", "60 Hz"), ("120", None)], "a string, b string")
+    assert [r[0] for r in df.select(phone.refresh_hz("a", "b")).collect()] == [None, 120]
+
+
 def test_quoted_cells_and_fixed_columns_round_trip(spark, tmp_path):
     df = spark.createDataFrame([('a "q", b\nc', 1)], "name string, extra int")
     writers.write_fixed(df, str(tmp_path / "out"), ["url", "name"])
