@@ -13,9 +13,9 @@ behind it, and the parity bits of two sets (``BITS`` of them) bound their differ
 bounds are exact, so they lose nothing.
 
 Within one index entry pairs are not spelled out: every member is compared with the entry's
-least member, links are closed to components, and only members that are still in different
-components of an entry are compared with each other, those outside the entry's largest
-component against the rest. Every pair that could join two components is verified on the sets.
+least member, verified links give members labels (their least head, two steps up), and only members
+of one entry with different labels are compared with each other, those outside the entry's most
+frequent label against the rest. Every pair that could join two labels is verified on the sets.
 
 Defined cases: a NULL, empty or wordless text has the empty set and links with nothing; fewer
 than ``SHINGLE`` words are one shingle; rows that share a doc_id are one node of the links;
@@ -36,9 +36,11 @@ from shelfwise.llm.components import components
 SHINGLE = 3
 #: Least intersection in hundredths of the union.
 SIMILAR = 90
-CELL_BITS = 20
+CELL_BITS = 18
 FREQUENT = 0.125
 BITS = 512
+#: Bits of the filter that keeps unwanted texts out of verification; a crowded one only costs time.
+FILTER_BITS = 1 << 23
 
 _INSIDE = np.ones(256, dtype=bool)
 _INSIDE[[9, 10, 11, 12, 13, 32]] = False
@@ -152,9 +154,14 @@ def _sets(classes, frequent: int, n: int, similar: int):
     return run
 
 
-def _tokens(n: int):
+def _tokens(n: int, wanted):
+    """Map function: tokens of the texts whose id hash the filter lets through."""
+
     def run(batches):
         for batch in A.chunks(batches):
+            batch = batch.filter(pa.array(wanted.value[batch.column("h").to_numpy(zero_copy_only=False)]))
+            if not batch.num_rows:
+                continue
             owner, token, _ = shingles(batch.column("text"), n)
             bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(token.view(np.int64)))
@@ -163,16 +170,42 @@ def _tokens(n: int):
     return run
 
 
-def _possible(a: str, b: str, similar: int) -> Column:
-    """Can two sets link, by what lies behind their common token and by their parity bits?"""
+def _filter_place(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+
+def _sets_of(texts: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """(id, tokens) of the documents in the pairs, and of few others; no text is shuffled.
+
+    What reaches the driver is a bit set of FILTER_BITS, whatever the number of pairs.
+    """
+    spark = texts.sparkSession
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(_filter_place("id").alias("h"))
+    packed = (
+        ids.groupBy((F.col("h") / 64).cast("long").alias("w"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))")).alias("v"))
+        .collect()
+    )
+    table = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
+    table[[r["w"] for r in packed]] = np.array([r["v"] for r in packed], dtype=np.int64).view(np.uint64)
+    wanted = spark.sparkContext.broadcast(np.unpackbits(table.view(np.uint8), bitorder="little").view(bool))
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    rows = texts.where("doc_id is not null").select("doc_id", "text", _filter_place("doc_id").alias("h"))
+    return hand_off(map_arrow(rows, _tokens(n, wanted), f"id {kind}, tokens array<long>"), "tokens")
+
+
+def _near_enough(a: str, b: str, similar: int) -> Column:
+    """Can two sets link, by what lies behind their first common token?"""
     overlap = F.least(F.col(f"{a}.n") - F.col(f"{a}.place"), F.col(f"{b}.n") - F.col(f"{b}.place"))
-    both = F.col(f"{a}.n") + F.col(f"{b}.n")
-    enough = 100 * overlap >= similar * (both - overlap)
-    differ = sum(
-        (F.bit_count(F.col(f"{a}.parity")[k].bitwiseXOR(F.col(f"{b}.parity")[k])) for k in range(BITS // 64)), F.lit(0)
+    return 100 * overlap >= similar * (F.col(f"{a}.n") + F.col(f"{b}.n") - overlap)
+
+
+def _alike(a: str, b: str, similar: int) -> Column:
+    """Can two sets link, by their parity bits? |A - B| + |B - A| is at most (1 - t) / (1 + t) of |A| + |B|."""
+    differ = F.aggregate(
+        F.zip_with(F.col(f"{a}.parity"), F.col(f"{b}.parity"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, v: s + v
     )
-    # |A - B| + |B - A| is at most (1 - t) / (1 + t) of |A| + |B|.
-    return enough & ((100 + similar) * differ <= (100 - similar) * both)
+    return (100 + similar) * differ <= (100 - similar) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
@@ -206,52 +239,53 @@ def link_groups(documents: DataFrame, n: int = SHINGLE, similar: int = SIMILAR)
     members = base.where(F.size("keys") > 0).join(groups.select("id", *same), ["id", *same], "left_semi")
     entries = members.select("id", "n", F.inline("keys"))
     shared = entries.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("least")).where("m > 1")
-    members = members.select("id", "n", "parity")
-    postings = hand_off(
-        entries.join(shared.select("key", "least"), "key").join(members.select("id", "parity"), "id"), "postings"
-    )
-    wanted = postings.select("id").distinct()
-    sets = hand_off(
-        map_arrow(
-            texts.withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi"), _tokens(n), f"id {kind}, tokens array<long>"
-        ),
-        "tokens",
-    )
+    postings = hand_off(entries.join(shared.select("key", "least"), "key"), "postings")
+    marks = members.select("id", "n", "parity")
 
-    heads = postings.where("id = least").select("key", F.col("id").alias("head"), "n", "place", "parity")
+    heads = postings.where("id = least").select("key", F.col("id").alias("head"), "n", "place")
     first = (
         postings.where("id != least").alias("x")
         .join(heads.alias("y"), F.col("x.key") == F.col("y.key"))
-        .where(_possible("x", "y", similar))
+        .where(_near_enough("x", "y", similar))
         .select(F.col("y.head").alias("a"), F.col("x.id").alias("b"))
         .distinct()
     )
-    links = hand_off(_verified(first, sets, similar), "links")
-    joined = hand_off(components(links), "components")
+    first = first.join(marks.alias("x"), F.col("a") == F.col("x.id")).join(marks.alias("y"), F.col("b") == F.col("y.id"))
+    first = hand_off(first.where(_alike("x", "y", similar)).select("a", "b").distinct(), "pairs")
+    links = hand_off(_verified(first, _sets_of(texts, first, n), similar), "links")
+    # Two steps towards the least head are enough to see most of what belongs together.
+    label = links.groupBy("b").agg(F.min("a").alias("head"))
+    above = label.select(F.col("b").alias("up"), F.col("head").alias("top"))
+    label = hand_off(
+        label.join(above, F.col("head") == F.col("up"), "left").select(F.col("b").alias("id"), F.coalesce("top", "head").alias("component")),
+        "labels",
+    )
 
     placed = (
-        postings.join(joined, "id", "left")
+        postings.join(label, "id", "left")
         .withColumn("component", F.coalesce("component", "id"))
-        .select("key", "id", "n", "place", "parity", "component")
+        .select("key", "id", "n", "place", "component")
     )
     mixed = (
         placed.groupBy("key", "component").agg(F.count("*").alias("m"))
-        .groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("m", "component"))["component"].alias("main"))
+        .groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", "m").alias("main"))
         .where("parts > 1").select("key", "main")
     )
-    open_rows = hand_off(placed.join(mixed, "key"), "open")
+    open_rows = hand_off(placed.join(mixed, "key").join(marks.select("id", "parity"), "id"), "open")
     second = (
         open_rows.where("component != main").alias("x")
         .join(open_rows.alias("y"), F.col("x.key") == F.col("y.key"))
         .where(
             (F.col("x.component") != F.col("y.component"))
             & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
-            & _possible("x", "y", similar)
+            & _near_enough("x", "y", similar)
+            & _alike("x", "y", similar)
         )
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
         .distinct()
     )
-    more = hand_off(_verified(second, sets, similar), "links")
+    second = hand_off(second, "pairs")
+    more = _verified(second, _sets_of(texts, second, n), similar)
     whole = components(links.unionAll(more))
     found = groups.join(whole, "id", "left").select(*same, "copies", F.coalesce("component", "id").alias("component_id"))
     return (
