@@ -153,20 +153,21 @@ class Net:
         return {"table": table, "w1": pooled.T @ dh, "b1": dh.sum(axis=0), "w2": hidden.T @ d, "b2": d.sum(axis=0)}
 
 
-def fit(codes: np.ndarray, y: np.ndarray, rounds: int = 8) -> Net:
+def fit(codes: np.ndarray, y: np.ndarray, steps: int = 600) -> Net:
+    """At least ``steps`` steps of Adam over rows in random order, eight rounds for many rows."""
     net, rng = Net(), np.random.default_rng(3)
     moments = {n: (np.zeros_like(getattr(net, n)), np.zeros_like(getattr(net, n))) for n in net.names}
-    step = 0
-    for r in range(rounds):
-        for rows in np.array_split(rng.permutation(len(y)), max(1, len(y) // 64)):
-            grads = net.step(codes[rows], y[rows], 1.0)
-            step += 1
-            for n in net.names:
-                m, v = moments[n]
-                m += 0.1 * (grads[n] - m)
-                v += 0.01 * (grads[n] ** 2 - v)
-                value = getattr(net, n)
-                value -= 0.005 / (1 + r) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+    steps = max(steps, 8 * len(y) // 64)
+    order = np.concatenate([rng.permutation(len(y)) for _ in range(-(-steps * 64 // len(y)))])
+    for step in range(1, steps + 1):
+        rows = order[(step - 1) * 64 : step * 64]
+        grads = net.step(codes[rows], y[rows], 1.0)
+        for n in net.names:
+            m, v = moments[n]
+            m += 0.1 * (grads[n] - m)
+            v += 0.01 * (grads[n] ** 2 - v)
+            value = getattr(net, n)
+            value -= 0.005 * (1 - step / (steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
     return net
 
 
@@ -196,7 +197,7 @@ def train(documents: DataFrame) -> tuple[dict, np.ndarray]:
             codes.append(row)
             labels.append(y[which])
     never = np.full(len(KINDS), 2.0)
-    if not codes:
+    if sum(map(len, codes)) < 4:
         return {n: getattr(Net(), n) for n in Net.names}, never
     x, y = np.concatenate(codes)[:FIT_ROWS], np.concatenate(labels)[:FIT_ROWS]
     held = np.arange(len(y)) % 4 == 0

@@ -159,18 +159,17 @@ def test_secrets_are_redacted(spark):
 
 
 def test_cnn_finds_findings_again(spark, folder):
-    base = spark.read.parquet(f"{folder}/documents.parquet")
-    weights, limits = secrets.train(base.unionByName(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")))
-    assert limits.shape == (3,) and (limits > 0).all()
-    text = b'x token = "0123456789abcdef0123456789abcdef" and plain words only here'
+    weights, limits = secrets.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    assert limits.shape == (3,) and 0 < limits[0] < 1
+    text = b'x token = "d3e19b0c4f7a8265e1c0b93d7f48a6529e0d1c7b" and plain words only here'
     buf, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
     start, end = secrets.candidates(buf, offsets)
-    assert [text[s:e] for s, e in zip(start, end)] == [b"0123456789abcdef0123456789abcdef"]
+    assert [text[s:e] for s, e in zip(start, end)] == [b"d3e19b0c4f7a8265e1c0b93d7f48a6529e0d1c7b"]
     codes, which = secrets.pieces(buf, offsets, start, end)
     net = secrets.Net()
     for n, v in weights.items():
         setattr(net, n, v)
-    assert net.scores(codes, which, 1)[0].max() > 0.3
+    assert net.scores(codes, which, 1)[0, 0] >= limits[0]
 
 
 def brute_groups(rows):
