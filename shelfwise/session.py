@@ -37,8 +37,10 @@ def shared_dir(spark: SparkSession) -> str:
     Without that setting it lies in the session's warehouse, which is shared by definition;
     a machine-local temporary folder is never used.
     """
-    if _scopes:
-        return _scopes[-1]
+    return _scopes[-1] if _scopes else _base_dir(spark)
+
+
+def _base_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
@@ -77,7 +79,7 @@ def small_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> D
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Compute a frame once into reliable storage, so that losing executors costs nothing."""
     spark = df.sparkSession
-    folder = shared_dir(spark)
+    folder = _base_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
