@@ -80,4 +80,4 @@ def by_ordered_words(c: Column | str, words: Mapping[str, str], otherwise: str =
 
 def unseen(batch: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     """Rows of a batch whose key no earlier batch had. Both sides may be large."""
-    return batch.join(seen.select(key).distinct(), key, "left_anti")
+    return batch.join(seen.select(key), key, "left_anti")

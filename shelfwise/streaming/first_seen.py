@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,8 +13,23 @@ from shelfwise.operators.lookup import unseen
 from shelfwise.operators.rows import keep_first
 
 
+#: Folders per batch. Fixed for the life of a store.
+BUCKETS = 64
+
+
 def _store_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    return T.StructType([*schema.fields, T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType())])
+
+
+def bucket_of(key: str) -> Column:
+    """The store's folder for a key, below its batch."""
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def seen_before(spark: SparkSession, store: str, schema: T.StructType, batch_id: int, buckets: Sequence[int]) -> DataFrame:
+    """Rows of earlier batches in the given buckets; other folders are not read."""
+    rows = read_store(spark, store, schema)
+    return rows.where((F.col("batch") < batch_id) & F.col("bucket").isin(list(buckets)))
 
 
 def read_store(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
@@ -25,18 +41,20 @@ def first_seen_stream(
 ) -> StreamingQuery:
     """Append rows with a new key to ``store``; keys are never forgotten.
 
-    Each micro-batch is reduced to one row per key and then anti-joined with the keys of
-    earlier batches, of which only the key column is read. A batch owns its folder, so a
-    replay after a failure overwrites its own rows and nothing else. Where a bounded delay
+    The store is dealt into ``BUCKETS`` folders by key hash. Each micro-batch is reduced to one row
+    per key and anti-joined with earlier batches, of which only its own buckets' key column is
+    read: a small batch reads a small part of the history. A batch owns its folder, so a replay after a failure overwrites its own rows and nothing else. Where a bounded delay
     between repeats is acceptable, ``dropDuplicatesWithinWatermark`` needs less state.
     """
     schema = stream.schema
-    stream.sparkSession.createDataFrame([], schema).write.mode("overwrite").parquet(f"{store}/batch=-1")
+    empty = stream.sparkSession.createDataFrame([], schema).withColumn("bucket", F.lit(0))
+    empty.write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch=-1")
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        seen = read_store(batch.sparkSession, store, schema).where(f"batch < {batch_id}")
-        fresh = unseen(keep_first(batch, [key], order), seen, key)
-        fresh.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
+        here = [r[0] for r in batch.select(bucket_of(key).alias("bucket")).distinct().collect()]
+        seen = seen_before(batch.sparkSession, store, schema, batch_id, here)
+        fresh = unseen(keep_first(batch, [key], order), seen, key).withColumn("bucket", bucket_of(key))
+        fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(append)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators.rows import keep_first
 from shelfwise.session import scratch_path
 from shelfwise.sources.tables import table
-from shelfwise.streaming import first_seen
+from shelfwise.streaming import arrivals, first_seen
 
 SCHEMA = "url string, event_id long"
 
@@ -36,3 +36,27 @@ def test_stream_keys_equal_batch_keys_and_restart_adds_only_new(spark, folder):
     again = run(spark, source, store, scratch_path(spark, "progress"))
     keys = sorted(r.url for r in again.collect())
     assert keys == sorted(set(keys))
+
+
+def test_a_batch_reads_only_its_buckets(spark):
+    store = scratch_path(spark, "store")
+    rows = spark.createDataFrame([(f"k{k}", k) for k in range(300)], SCHEMA)
+    rows.withColumn("bucket", first_seen.bucket_of("url")).write.partitionBy("bucket").parquet(f"{store}/batch=0")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    some = first_seen.seen_before(spark, store, schema, 1, [3, 5])
+    want = {r.url for r in rows.where(first_seen.bucket_of("url").isin(3, 5)).collect()}
+    assert {r.url for r in some.collect()} == want
+    assert "PartitionFilters: [isnotnull(batch" in some._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merging_arrivals_reads_only_the_newest_entries(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for name, v in (("a_1.csv", 1), ("a_2.csv", 2), ("b_1.csv", 3)):
+        (folder / name).write_text(f"k,v\nx{v},{v}\n", encoding="utf-8")
+    log = str(tmp_path / "log")
+    arrivals.arrivals_stream(spark, str(folder), "k string, v int", ["a", "b"], log, str(tmp_path / "p"), 1).awaitTermination()
+    merged = arrivals.merged(spark, log, "k string, v int", "k")
+    assert sorted(r.v for r in merged.collect()) == [2, 3]
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((" in plan or "PartitionFilters: [(" in plan
