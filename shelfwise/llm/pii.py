@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm import arrays as A
-from shelfwise.llm.common import map_arrow, ship
+from shelfwise.llm.common import extended, map_arrow, sample_texts, ship
 from shelfwise.llm.spans import Span, finder, schema
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -35,6 +35,8 @@ LABELS = 1 + len(KINDS)
 FIT_TEXTS = 4_000
 BUCKETS = 1 << 13
 SWEEPS, DAMPING, SURE = 8, 0.5, 0.95
+#: Features of a word.
+FEATURES = 9
 
 _DOMAIN = re.compile(rb"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(rb"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -172,7 +174,7 @@ class Graph:
                 for k, w in enumerate(words)
             ],
             dtype=np.int64,
-        ).reshape(len(words), -1)
+        ).reshape(len(words), FEATURES)
         ties, seen = [], {}
         for k in np.flatnonzero(self.core).tolist():
             word = words[k].strip(b".,;:!?()[]{}<>\"'|").lower()
@@ -243,8 +245,7 @@ def beliefs(graph: Graph, weights: np.ndarray, chain: np.ndarray, skip: np.ndarr
 def train(documents: DataFrame) -> tuple | None:
     """Word, chain and skip potentials of fixed size, or None with nothing to learn from."""
     ship(documents.sparkSession)
-    marked = documents.where(F.col("text").rlike("[@+0-9]")).select("text", F.xxhash64("text").alias("h"))
-    texts = [r["text"].encode() for r in marked.orderBy("h", "text").limit(FIT_TEXTS).collect()]
+    texts = [t.encode() for t in sample_texts(documents.where(F.col("text").rlike("[@+0-9]")), FIT_TEXTS)]
     if not texts:
         return None
     parts: list = []
@@ -289,8 +290,7 @@ def scan(documents: DataFrame, model: tuple | None = None) -> DataFrame:
                 own.append((s, int(kind[k]) - 1, e))
         return out
 
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields if f.name != "text"]
-    return map_arrow(documents, finder(KINDS, base_spans, added), ", ".join([*kept, schema(KINDS)]))
+    return map_arrow(documents, finder(KINDS, base_spans, added), extended(documents, schema(KINDS), ("text",)))
 
 
 def op9_pii(documents: DataFrame) -> DataFrame:
