@@ -108,7 +108,32 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return pii.op9_pii(table(spark, folder, "documents"))
 
 
-@query("op6_ngram_jaccard")
+@query(
+    "op6_ngram_jaccard",
+    r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS w FROM documents
+    ),
+    s AS (
+        SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 2), ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM w WHERE len(w) > 0)
+    ),
+    sets AS (SELECT doc_id, count(*) AS n, list_sort(list(g)) AS own FROM s GROUP BY doc_id),
+    sized AS (SELECT doc_id, n, count(*) OVER (PARTITION BY own) AS copies FROM sets),
+    common AS (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+    ),
+    links AS (
+        SELECT x, y FROM common JOIN sized p ON p.doc_id = x JOIN sized q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)
+    ),
+    reached AS (SELECT x AS doc_id, y AS other FROM links UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON r.other = l.x),
+    least AS (SELECT doc_id, min(other) AS other FROM reached GROUP BY doc_id)
+    SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(other, w.doc_id)) AS component_id,
+           coalesce(copies, 1) AS copies
+    FROM w LEFT JOIN sized USING (doc_id) LEFT JOIN least USING (doc_id)
+    """,
+)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.op6_jaccard(table(spark, folder, "documents"))
 
