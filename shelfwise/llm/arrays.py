@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Most text bytes that a task looks at together.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -29,7 +29,7 @@ from shelfwise.llm.common import extended, map_arrow
 
 _LETTER, _NUMBER, _SPACE, _OTHER = 0, 1, 2, 3
 #: Pre-tokens that a worker remembers; when full it starts afresh.
-MEMORY = 150_000
+MEMORY = 100_000
 _kept: dict = {}
 
 
@@ -181,19 +181,19 @@ def _distinct(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[list
 
 
 def _encoder(model: bytes, ranked: list[bytes]):
-    """Function from byte strings to id arrays, kept for the worker's life."""
+    """Function from byte strings to their ids (as bytes, four for each), kept for the worker's life."""
     import sentencepiece
 
     if _kept.get("model") != model:
         _kept.update(
             model=model,
             processor=sentencepiece.SentencePieceProcessor(model_proto=model),
-            known={entry: np.array([rank], dtype="<u4") for rank, entry in enumerate(ranked)},
+            known={entry: struct.pack("<I", rank) for rank, entry in enumerate(ranked)},
         )
         _kept["memory"] = {}
     whole, processor = _kept["known"], _kept["processor"]
 
-    def encode(pieces: list[bytes]) -> list[np.ndarray]:
+    def encode(pieces: list[bytes]) -> list[bytes]:
         memory = _kept["memory"]
         if len(memory) > MEMORY:
             memory = _kept["memory"] = {}
@@ -206,7 +206,7 @@ def _encoder(model: bytes, ranked: list[bytes]):
                     rest.append(k)
         texts = [_as_characters(np.frombuffer(pieces[k], dtype=np.uint8)).tobytes().decode() for k in rest]
         for k, ids in zip(rest, processor.encode(texts, num_threads=1) if texts else []):
-            found[k] = np.array(ids, dtype="<u4") - np.uint32(1)
+            found[k] = (np.array(ids, dtype="<u4") - np.uint32(1)).tobytes()
             if len(pieces[k]) <= 64:
                 memory[pieces[k]] = found[k]
         return found
@@ -227,13 +227,13 @@ def encode(documents: DataFrame, path: str, column: str = "text", ids: str = "id
 
     def run(batches):
         to_ids = _encoder(*shared.value)
-        for batch in A.chunks(batches, column, A.CHUNK_BYTES // 2):
+        for batch in A.chunks(batches, column):
             buf, offsets = A.text_bytes(batch.column(column))
             start, end = pre_tokens(buf, offsets)
             pieces, which = _distinct(buf, start, end)
             parts = to_ids(pieces)
-            sizes = np.array([len(p) for p in parts], dtype=np.int64)
-            flat = np.concatenate(parts) if parts else np.zeros(0, dtype="<u4")
+            sizes = np.array([len(p) // 4 for p in parts], dtype=np.int64)
+            flat = np.frombuffer(b"".join(parts), dtype="<u4")
             first = np.cumsum(sizes) - sizes
             out = flat[A.within(first[which], sizes[which])] if len(which) else flat
             ends = np.concatenate(([0], np.cumsum(sizes[which]))) if len(which) else np.zeros(1, np.int64)
@@ -254,7 +254,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", data: str = "decoded
         sizes = np.array([len(entry) for entry in ranked], dtype=np.int64)
         first = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join(ranked), dtype=np.uint8)
-        for batch in A.chunks(batches, ids, A.CHUNK_BYTES // 2):
+        for batch in A.chunks(batches, ids):
             raw, offsets = A.text_bytes(batch.column(ids))
             number = np.frombuffer(raw.tobytes(), dtype="<u4").astype(np.int64)
             if len(number) and number.max() >= len(ranked):

@@ -17,6 +17,7 @@ from shelfwise.sources.tables import table
 _shipped: set[str] = set()
 
 __all__ = ["extended", "hand_off", "map_arrow", "sample_texts", "ship", "table"]
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: A text beyond this many bytes is left out of bounded samples to fit on (never out of scoring).
 SAMPLE_TEXT_BYTES = 1 << 18
 
@@ -45,7 +46,11 @@ def extended(df: DataFrame, more: str, without: tuple[str, ...] = ()) -> T.Struc
 
 def map_arrow(df: DataFrame, fn, schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with the package present on the executors."""
-    ship(df.sparkSession)
+    spark = df.sparkSession
+    ship(spark)
+    # Long texts make large batches; unless the session asks for another size, send fewer rows at a time.
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     return df.mapInArrow(fn, schema)
 
 
