@@ -1,12 +1,14 @@
 """License scans: MinHash bands over overlapping windows retrieve templates, containment verifies.
 
 Words are runs of letters and digits in lower case; shingles are ``SHINGLE`` of them. A template
-of m words is looked for in windows of m + s - 1 words placed every s = max(1, m // 8) words (and one at
-the end), so some window holds every place the template can stand. Of a window with at least
+of m words stands where at most 2 m words in a row hold ``CONTAINED`` of its shingles: words may be
+changed, left out or put in. It is looked for in windows of 2 m + s - 1 words placed every
+s = max(1, m // 2) words (and one at the end), so some window holds every such stretch, wherever it
+begins. (One shingle needs no more than its own words.) Of a window with at least
 ``CONTAINED`` of the template's shingles the similarity to the template is at least a known
 number J; with one hash per band and as many bands as make (1 - J) ** bands at most ``MISS``,
 such a window shares a band with its template all but certainly. Band hits are only
-candidates: the share of the template's shingles that the window holds is then counted.
+candidates: the fullest stretches, of those the shortest, are then found by exact counts.
 
 Templates are a parameter, checked to be at most ``MOST`` texts of ``LONGEST`` words, which
 bounds what is sent to the workers.
@@ -19,6 +21,7 @@ answer; other columns are ignored.
 from __future__ import annotations
 
 import math
+from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +35,15 @@ from shelfwise.llm.decontaminate import words_of
 SHINGLE, CONTAINED, MISS = 5, 0.8, 1e-4
 MOST, LONGEST = 5_000, 10_000
 
-#: Notices as their publishers word them.
+#: Notices as their publishers word them, and a shortened one.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction',
+    ),
     (
         "MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -74,8 +82,10 @@ class Template:
             raise ValueError(f"template {name} must have {SHINGLE} to {LONGEST} words")
         self.name, self.words = name, len(hashes)
         self.shingles = np.unique(A.window_hashes(hashes, SHINGLE))
-        self.step = max(1, self.words // 8)
-        self.window = self.words + self.step - 1
+        #: Most words of a stretch that counts as the template; a lone shingle cannot be stretched.
+        self.longest = 2 * self.words if len(self.shingles) > 1 else SHINGLE
+        self.step = max(1, self.words // 2) if len(self.shingles) > 1 else 1
+        self.window = self.longest + self.step - 1
         self.least = math.ceil(CONTAINED * len(self.shingles) - 1e-9)
         union = len(self.shingles) + self.window - SHINGLE + 1 - self.least
         self.bands = math.ceil(math.log(MISS) / math.log(max(1e-12, 1 - self.least / union))) if self.least < union else 1
@@ -101,11 +111,83 @@ def _windows(first: np.ndarray, shape: tuple[int, int]) -> tuple[np.ndarray, np.
     return first[doc] + place, np.minimum(words[doc], size), doc
 
 
+def _stretches(at: np.ndarray, which: np.ndarray, t: Template) -> list[tuple[int, int]]:
+    """First and last shingle of every stretch that holds the template: the fullest, then the shortest, none overlapping.
+
+    ``at`` are the places of the template's shingles in order, ``which`` says which shingle stands there.
+    """
+    out, open_parts = [], [(0, len(at))]
+    while open_parts:
+        a, b = open_parts.pop()
+        ends, seen = [], OrderedDict()
+        for place, shingle in zip(at[a:b].tolist(), which[a:b].tolist()):
+            # By last place, so the first entry is where the shortest stretch with as many shingles begins.
+            seen.pop(shingle, None)
+            seen[shingle] = place
+            while place - (begin := next(iter(seen.values()))) > t.longest - SHINGLE:
+                seen.popitem(last=False)
+            if len(seen) >= t.least:
+                ends.append((-len(seen), place - begin, begin, place))
+        # All that do not meet a better one are taken; what lies between them is searched again.
+        taken = np.zeros(b - a, dtype=bool)
+        bounds = []
+        for _, _, begin, end in sorted(ends):
+            i, j = np.searchsorted(at[a:b], (begin, end))
+            if not taken[i : j + 1].any():
+                taken[i : j + 1] = True
+                bounds.append((a + int(i), a + int(j) + 1))
+                out.append((begin, end))
+        if bounds:
+            bounds.sort()
+            edges = [a, *(e for pair in bounds for e in pair), b]
+            open_parts += [(x, y) for x, y in zip(edges[::2], edges[1::2]) if y - x >= t.least]
+    return out
+
+
 def _find(templates: list[Template]):
     shapes: dict[tuple[int, int], list[int]] = {}
     for k, t in enumerate(templates):
         shapes.setdefault((t.window, t.step), []).append(k)
 
+    def candidates(shingle: np.ndarray, first: np.ndarray) -> dict:
+        """Per (document, template) the (first shingle, one past the last) of the windows that share a band with it."""
+        placed = {}
+        for shape, own in shapes.items():
+            at, size, doc = _windows(first, shape)
+            if len(at):
+                many, width = size - SHINGLE + 1, shape[0] - SHINGLE + 1
+                full, short = np.flatnonzero(many == width), np.flatnonzero(many != width)
+                span = A.within(at[short], many[short])
+                cuts = np.cumsum(many[short]) - many[short]
+                placed[shape] = at, many, doc, full, short, span, cuts, np.zeros((len(at), len(own)), dtype=bool)
+        for band in range(max((templates[k].bands for shape in placed for k in shapes[shape]), default=0)):
+            value = _band(shingle, band)
+            # Least of every 1, 2, 4, ... values: two of them cover any width, for all shapes alike.
+            doubled = [value]
+            for shape, (at, many, doc, full, short, span, cuts, hits) in placed.items():
+                own = [(j, k) for j, k in enumerate(shapes[shape]) if band < templates[k].bands]
+                if not own:
+                    continue
+                least = np.zeros(len(at), dtype=np.uint64)
+                width = shape[0] - SHINGLE + 1
+                # Whole windows by doubled minima, the few of short texts each on its own.
+                if len(full):
+                    level = width.bit_length() - 1
+                    while len(doubled) <= level:
+                        half = 1 << (len(doubled) - 1)
+                        doubled.append(np.minimum(doubled[-1][:-half], doubled[-1][half:]))
+                    begin = at[full]
+                    least[full] = np.minimum(doubled[level][begin], doubled[level][begin + width - (1 << level)])
+                if len(short):
+                    least[short] = np.minimum.reduceat(value[span], cuts)
+                for j, k in own:
+                    hits[:, j] |= least == _band(templates[k].shingles, band).min()
+        out: dict = {}
+        for shape, (at, many, doc, *_, hits) in placed.items():
+            for w, j in zip(*(v.tolist() for v in np.nonzero(hits))):
+                out.setdefault((int(doc[w]), shapes[shape][j]), []).append((int(at[w]), int(at[w] + many[w])))
+        return out
+
     def run(batches):
         for batch in A.chunks(batches):
             (buf, offsets), (start, end), hashes = _hashed(batch.column("text"))
@@ -113,34 +195,13 @@ def _find(templates: list[Template]):
             shingle = A.window_hashes(hashes, SHINGLE)
             points = A.code_points(buf)
             found: list[dict] = [{} for _ in range(batch.num_rows)]
-            for shape, own in shapes.items():
-                at, size, doc = _windows(first, shape)
-                if not len(at):
-                    continue
-                many = size - SHINGLE + 1
-                full = many == shape[0] - SHINGLE + 1
-                hits = np.zeros((len(at), len(own)), dtype=bool)
-                for band in range(max(templates[k].bands for k in own)):
-                    value = _band(shingle, band)
-                    least = np.zeros(len(at), dtype=np.uint64)
-                    # Whole windows by a sliding minimum, the few of short texts each on its own.
-                    if full.any():
-                        least[full] = A.sliding_min(value, shape[0] - SHINGLE + 1)[at[full]]
-                    short = np.flatnonzero(~full)
-                    if len(short):
-                        span = A.within(at[short], many[short])
-                        least[short] = np.minimum.reduceat(value[span], np.cumsum(many[short]) - many[short])
-                    for j, k in enumerate(own):
-                        if band < templates[k].bands:
-                            hits[:, j] |= least == _band(templates[k].shingles, band).min()
-                for w, j in zip(*np.nonzero(hits)):
-                    t = templates[own[j]]
-                    inside = shingle[at[w] : at[w] + many[w]]
-                    match = np.flatnonzero(np.isin(inside, t.shingles))
-                    if len(np.unique(inside[match])) >= t.least:
-                        base = points[offsets[doc[w]]]
-                        a, b = at[w] + match[0], at[w] + match[-1] + SHINGLE - 1
-                        found[doc[w]].setdefault(t.name, []).append((int(points[start[a]] - base), int(points[end[b]] - base)))
+            for (d, k), windows in candidates(shingle, first).items():
+                t, base = templates[k], points[offsets[d]]
+                for low, high in zip(*A.spans_union(*(np.array(v) for v in zip(*windows)))):
+                    which = np.minimum(np.searchsorted(t.shingles, shingle[low:high]), len(t.shingles) - 1)
+                    match = np.flatnonzero(t.shingles[which] == shingle[low:high])
+                    for a, b in _stretches(low + match, which[match], t):
+                        found[d].setdefault(t.name, []).append((int(points[start[a]] - base), int(points[end[b + SHINGLE - 1]] - base)))
             rows = []
             for own_found in found:
                 spans = []

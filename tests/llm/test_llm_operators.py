@@ -320,6 +320,39 @@ def test_licenses_equal_exact_containment(spark):
         assert got[d] == want
 
 
+def test_licenses_with_words_put_in_at_every_place(spark):
+    rng = random.Random(11)
+    notice = 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction'
+    texts = ["pad " * k + notice + " pad" * 40 for k in range(12)]
+    texts += ["Licensed under CC BY 4.0. Licensed under CC BY 4.0. " + notice + " pad" * 5 + " " + notice]
+    got = {r["doc_id"]: r for r in licenses.op3_licenses(frame(spark, texts)).collect()}
+    for k in range(12):
+        name, start, end = got[k]["spans"].split(":")
+        assert name == "MIT" and texts[k][int(start) : int(end)] == notice
+    assert [v.split(":")[0] for v in got[12]["spans"].split(",")] == ["CC-BY-4.0", "CC-BY-4.0", "MIT", "MIT"]
+
+    words = ["l%d" % k for k in range(300)]
+    templates = [(f"T{k}", " ".join(rng.sample(words, n))) for k, n in enumerate((5, 6, 9, 24, 60))]
+    texts = []
+    for _ in range(150):
+        own = rng.choice(templates)[1].split()
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(own))
+            own[at:at] = rng.choices(words, k=rng.randint(1, 12))
+        texts.append(" ".join(rng.choices(words, k=rng.randint(0, 90)) + own + rng.choices(words, k=rng.randint(0, 90))))
+    got = {r["doc_id"]: {s["license"] for s in r["found"]} for r in licenses.scan(frame(spark, texts).select("doc_id", "text"), templates).collect()}
+    for d, text in enumerate(texts):
+        w, want = text.split(), set()
+        for name, t in templates:
+            tw = t.split()
+            shingles = {tuple(tw[k : k + 5]) for k in range(len(tw) - 4)}
+            for p in range(len(w)):
+                part = w[p : p + 2 * len(tw)]
+                if len(shingles & {tuple(part[k : k + 5]) for k in range(len(part) - 4)}) >= 0.8 * len(shingles) - 1e-9:
+                    want.add(name)
+        assert got[d] == want, text
+
+
 def test_maximal_segments_equal_definition():
     rng = random.Random(9)
     for _ in range(300):
