@@ -14,6 +14,8 @@ from shelfwise.llm import bpe, decontaminate, jaccard, secrets, toxicity
 from shelfwise.llm.common import hand_off, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: Near copies: words of a shingle, and the least intersection in hundredths of the union.
+NEAR_WORDS, NEAR_SIMILAR = 5, 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies the document with the least id stays."""
-    return jaccard.one_of_each(docs)
+    """Of every group of near copies (five-word shingles, Jaccard 0.8 or more) the document with the least id stays."""
+    return jaccard.one_of_each(docs, n=NEAR_WORDS, similar=NEAR_SIMILAR)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -99,7 +99,7 @@ def shingles(column: pa.Array, n: int, classes: np.ndarray | None = None):
 def _keys(owner, token, kind, sizes, first, similar: int, frequent: int):
     """(owner, key, place of its first token) of every index entry."""
     place = np.arange(len(owner)) - first[owner]
-    # Distinct linked sets have at least 9 tokens at 90 %: their union holds 1 / (1 - t) or more.
+    # Distinct linked sets share at least two tokens for t above a half: their union holds 1 / (1 - t) or more.
     prefix = sizes - -(-similar * sizes // 100) + 1
     rare = kind < frequent
     alone = np.flatnonzero(rare & (place < prefix[owner]))

@@ -50,5 +50,36 @@ def test_stages_decide(spark, tmp_path):
     assert final[102]["n_tokens"] == 0
 
 
+def test_near_copies_have_four_fifths_of_five_words(spark, tmp_path):
+    rng = random.Random(7)
+    words = ["u%d" % k for k in range(300)]
+    texts = []
+    for _ in range(12):
+        origin = rng.choices(words, k=rng.randint(30, 120))
+        texts.append(origin)
+        texts.append(origin + rng.choices(words, k=len(origin) * 15 // 100))
+        texts.append(origin + rng.choices(words, k=len(origin) * 35 // 100))
+        for changed in (1, 2, 4):
+            copy = list(origin)
+            for _ in range(changed):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            texts.append(copy)
+    texts += [rng.choices(words, k=n) for n in (1, 4, 5, 6)]
+    texts += [texts[-1] + ["u1"], texts[-2] + ["u1"], texts[-4][:]]
+    rng.shuffle(texts)
+    sets = []
+    for w in texts:
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)})
+    group = list(range(len(sets)))
+    for b in range(len(sets)):
+        for a in range(b):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((group[a], group[b]))
+                group = [low if g == high else g for g in group]
+    docs = spark.createDataFrame([(k, " ".join(w), "en", "s", 1) for k, w in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = dict(corpus_pipeline.STAGES)["ngram_jaccard"](spark, docs, str(tmp_path))
+    assert {r["doc_id"] for r in kept.collect()} == set(group)
+
+
 def test_stage_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard", "decontamination", "secrets", "byte_bpe"]
