@@ -5,10 +5,12 @@ least ``LEAST`` key characters with a digit in it. A small network sees the cand
 ``CONTEXT`` characters on both sides, cut into overlapping pieces of ``PIECE`` so that long
 candidates are seen whole: learned filters over character embeddings, maximum over all places,
 one hidden layer, one chance per kind. It is trained on labelled findings: candidates that a
-rule confirms, and those that none does, from a bounded sample of texts. Each kind's threshold is the largest that still finds ``RECALL``
-of held-back findings and lets at most ``FALSE_SHARE`` of held-back others through; a kind with
-no such threshold, or too few findings, adds nothing. Candidates over the threshold that touch
-no base span are added.
+rule confirms, and those that none does, at most ``FIT_EACH`` of every set of kinds and
+``FIT_OTHERS`` others, distinct ones that come first by hash. One in ``HELD`` is never learned from. Each
+kind's threshold is the largest of ``GRID`` that still finds ``RECALL`` of the findings not learned from,
+counted over all distinct candidates of all texts; if it lets more than ``FALSE_SHARE`` of the
+others through, or there are fewer than ``LEAST_HELD`` such findings, the kind adds nothing. Candidates
+over the threshold that touch no base span are added.
 
 Defined cases: a NULL or empty text has no spans; rows are independent, repeated ones get the
 same answer; other columns stay outside; with no findings to learn from only rules speak.
@@ -19,21 +21,24 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm import arrays as A
-from shelfwise.llm.common import extended, map_arrow, sample_texts, ship
+from shelfwise.llm.common import extended, hand_off, map_arrow
 from shelfwise.llm.spans import Span, finder, schema
 
 KINDS = ["assign", "access", "hex"]
 LEAST, CONTEXT, PIECE = 16, 16, 64
-#: Texts to learn from, at most, those that come first by hash.
-FIT_TEXTS = 4_000
-#: Findings and others to learn from, at most.
-FIT_ROWS = 6_000
+#: Findings of every set of kinds, and others, to learn from, at most; the bytes of one, at most (in fitting only).
+FIT_EACH, FIT_OTHERS, FIT_BYTES = 1_500, 4_500, 2_048
+#: One candidate in so many is kept from learning; findings that a threshold needs at least.
+HELD, LEAST_HELD = 4, 20
 RECALL, FALSE_SHARE = 0.95, 0.001
 EMBED, WIDTH, FILTERS, HIDDEN = 12, 5, 32, 24
+#: Places where a threshold can lie: evenly over the log-odds, all below 1.
+GRID = np.unique((1 / (1 + np.exp(-np.linspace(-16, 16, 2_049)))).astype(np.float32))
 
 _ASSIGN = re.compile(
     rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE
@@ -181,38 +186,121 @@ def labelled(buf: np.ndarray, offsets: np.ndarray, base: list[list[Span]], start
     return y
 
 
+def _labelled_candidates(batches):
+    """Map function: every candidate with its context, the kinds that rules confirm (bits) and a hash of it."""
+    for batch in A.chunks(batches):
+        buf, offsets = A.text_bytes(batch.column("text"))
+        start, end = candidates(buf, offsets)
+        if not len(start):
+            continue
+        y = labelled(buf, offsets, base_spans(buf, buf.tobytes(), offsets), start, end)
+        doc = A.owners(start, offsets)
+        low, high = np.maximum(start - CONTEXT, offsets[doc]), np.minimum(end + CONTEXT, offsets[doc + 1])
+        place = A.mix(((start - low) << 40 | (end - start)).astype(np.uint64))
+        h = A.mix(A.range_hashes(A.prefix_hashes(buf), low, high) ^ place)
+        bounds = np.concatenate(([0], np.cumsum(high - low)))
+        code = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(low), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(buf[A.within(low, high - low)])]
+        )
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array((y @ (1 << np.arange(len(KINDS)))).astype(np.int32)),
+                pa.array(h.view(np.int64)),
+                pa.array(start - low),
+                pa.array(end - start),
+                code.cast(pa.binary()),
+            ],
+            names=["y", "h", "lead", "n", "code"],
+        )
+
+
+def _rows(code: pa.Array, lead: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``pieces`` of candidates that are kept with their context only."""
+    buf, offsets = A.text_bytes(code)
+    start = offsets[:-1] + lead
+    return pieces(buf, offsets, start, start + n)
+
+
+def _net(weights: dict) -> Net:
+    net = Net()
+    for name, value in weights.items():
+        setattr(net, name, value)
+    return net
+
+
+def _score_counts(weights):
+    """Map function: per kind, candidates by place on GRID, findings of the kind and those of no kind."""
+
+    def run(batches):
+        net = _net(weights.value)
+        counts = np.zeros((len(KINDS), 2, len(GRID) + 1), dtype=np.int64)
+        for batch in A.chunks(batches, "code"):
+            y, lead, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "lead", "n"))
+            for a in range(0, batch.num_rows, 2048):
+                own = y[a : a + 2048]
+                codes, which = _rows(batch.column("code").slice(a, 2048), lead[a : a + 2048], n[a : a + 2048])
+                place = np.searchsorted(GRID, net.scores(codes, which, len(own)), side="right")
+                for k in range(len(KINDS)):
+                    counts[k, 1] += np.bincount(place[own >> k & 1 == 1, k], minlength=len(GRID) + 1)
+                    counts[k, 0] += np.bincount(place[own == 0, k], minlength=len(GRID) + 1)
+        k, yes, place = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (k, yes, place, counts[k, yes, place])], names=["k", "yes", "place", "m"])
+
+    return run
+
+
+def threshold(yes: np.ndarray, no: np.ndarray) -> float:
+    """The largest value of GRID that finds RECALL of the findings, or 2 if it or they do not suffice.
+
+    ``yes`` and ``no`` count findings and others by place: how many values of GRID they reach.
+    """
+    if yes.sum() < LEAST_HELD or not no.sum():
+        return 2.0
+    # Reached by all of place p + 1 and above: GRID[p].
+    reach = yes[::-1].cumsum()[::-1][1:]
+    enough = np.flatnonzero(reach >= RECALL * yes.sum())
+    if not len(enough) or no[enough[-1] + 1 :].sum() > FALSE_SHARE * no.sum():
+        return 2.0
+    return float(GRID[enough[-1]])
+
+
 def train(documents: DataFrame) -> tuple[dict, np.ndarray]:
     """Network and a threshold per kind (above 1: the kind adds nothing)."""
-    ship(documents.sparkSession)
-    # Most texts hold no candidate at all; only those with a long run of key characters teach.
-    rows = sample_texts(documents.where(F.col("text").rlike(r"[A-Za-z0-9+/_.=-]{16}")), FIT_TEXTS)
-    codes, labels = [], []
-    for text in rows:
-        data = text.encode()
-        buf, offsets = np.frombuffer(data, dtype=np.uint8), np.array([0, len(data)])
-        start, end = candidates(buf, offsets)
-        if len(start):
-            row, which = pieces(buf, offsets, start, end)
-            y = labelled(buf, offsets, base_spans(buf, data, offsets), start, end)
-            codes.append(row)
-            labels.append(y[which])
+    schema_ = "y int, h long, lead long, n long, code binary"
+    found = map_arrow(documents.select("text"), _labelled_candidates, schema_)
+    # Copies count once: what a copied page repeats teaches and proves nothing more.
+    found = hand_off(found.dropDuplicates(["y", "h"]), "candidates")
+    teaches = (F.pmod("h", F.lit(HELD)) != 0) & (F.octet_length("code") <= FIT_BYTES)
+    sizes = {r["y"]: r["m"] for r in found.where(teaches).groupBy("y").agg(F.count("*").alias("m")).collect()}
     never = np.full(len(KINDS), 2.0)
-    if sum(map(len, codes)) < 4:
+    if sum(sizes.values()) < 4 or set(sizes) == {0}:
         return {n: getattr(Net(), n) for n in Net.names}, never
-    x, y = np.concatenate(codes)[:FIT_ROWS], np.concatenate(labels)[:FIT_ROWS]
-    held = np.arange(len(y)) % 4 == 0
-    net = fit(x[~held], y[~held])
-    scores = net.scores(x[held], np.arange(held.sum()), int(held.sum()))
-    limits = never.copy()
-    for k in range(len(KINDS)):
-        yes, no = np.sort(scores[y[held][:, k] == 1, k]), scores[y[held].max(axis=1) == 0, k]
-        if len(yes) < 20 or not len(no):
-            continue
-        limit = yes[int((1 - RECALL) * len(yes))]
-        if (no >= limit).mean() <= FALSE_SHARE:
-            # Midway between the findings' limit and the strongest other keeps both sides safe.
-            limits[k] = max(limit, min(1.0, float(no.max()) + 1e-3))
-    return {n: getattr(net, n) for n in net.names}, limits
+    # Hashes are even: so large a part of their range holds each set's number, and some to spare.
+    unit = F.pmod(F.xxhash64("h"), F.lit(1 << 30))
+    most = {y: FIT_EACH if y else FIT_OTHERS for y in sizes}
+    near = F.lit(False)
+    for y, m in sizes.items():
+        near |= (F.col("y") == y) & (unit < int(min(1.0, 1.5 * most[y] / m) * (1 << 30)))
+    chosen = found.where(teaches & near).withColumn("u", unit).collect()
+    taken: dict[int, int] = {}
+    rows = []
+    for r in sorted(chosen, key=lambda r: (r["u"], r["h"])):
+        if taken.setdefault(r["y"], 0) < most[r["y"]]:
+            taken[r["y"]] += 1
+            rows.append(r)
+    codes, which = _rows(pa.array([bytes(r["code"]) for r in rows]), np.array([r["lead"] for r in rows]), np.array([r["n"] for r in rows]))
+    y = np.array([[r["y"] >> k & 1 for k in range(len(KINDS))] for r in rows], dtype=np.float32)
+    net = fit(codes, y[which])
+    weights = {n: getattr(net, n) for n in net.names}
+
+    learned = documents.sparkSession.createDataFrame([(r["y"], r["h"]) for r in rows], "y int, h long")
+    rest = found.join(F.broadcast(learned), ["y", "h"], "left_anti")
+    shared = documents.sparkSession.sparkContext.broadcast(weights)
+    counted = map_arrow(rest, _score_counts(shared), "k long, yes long, place long, m long").groupBy("k", "yes", "place").agg(F.sum("m").alias("m"))
+    counts = np.zeros((len(KINDS), 2, len(GRID) + 1), dtype=np.int64)
+    for r in counted.collect():
+        counts[r["k"], r["yes"], r["place"]] = r["m"]
+    return weights, np.array([threshold(counts[k, 1], counts[k, 0]) for k in range(len(KINDS))])
 
 
 def scan(documents: DataFrame, model: tuple[dict, np.ndarray] | None = None) -> DataFrame:
@@ -225,9 +313,7 @@ def scan(documents: DataFrame, model: tuple[dict, np.ndarray] | None = None) ->
         if limits.min() > 1:
             return out
         start, end = candidates(buf, offsets)
-        net = Net()
-        for name, value in weights.items():
-            setattr(net, name, value)
+        net = _net(weights)
         for a in range(0, len(start), 2048):
             s, e = start[a : a + 2048], end[a : a + 2048]
             codes, which = pieces(buf, offsets, s, e)

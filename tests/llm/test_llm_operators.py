@@ -172,6 +172,24 @@ def test_cnn_finds_findings_again(spark, folder):
     assert net.scores(codes, which, 1)[0, 0] >= limits[0]
 
 
+def test_thresholds_keep_recall_and_learn_rare_kinds(spark):
+    # One other above all findings must not push the threshold beyond them.
+    yes, no = np.zeros((2, len(secrets.GRID) + 1), dtype=int)
+    yes[900:1000], no[3], no[-1] = 1, 5000, 1
+    limit = secrets.threshold(yes, no)
+    assert limit == secrets.GRID[904] and yes[905:].sum() == 95
+    no[-1] = 50
+    assert secrets.threshold(yes, no) == 2
+
+    # 160 access keys among 8,000 others, 2 % of the candidates: far fewer than 20 of any quarter of 4,000.
+    rng = random.Random(12)
+    others = [f"see page-{rng.randrange(10**9):09d}-of-{rng.randrange(10**9):09d} now" for _ in range(8000)]
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    keys = [f"key AKIA{''.join(rng.choices(upper, k=15))}7 end" for _ in range(160)]
+    _, limits = secrets.train(frame(spark, others + keys).select("doc_id", "text"))
+    assert limits[1] < 1 and limits[0] > 1
+
+
 def brute_groups(rows):
     sets, parent = {}, {}
     for d, t in rows:
