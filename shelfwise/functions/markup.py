@@ -1,7 +1,6 @@
 """Page markup to text, links, table rows and labelled values, inside one record each.
 
-The expressions read well-formed shop pages: an element's text ends at the first closing
-tag of its own name, so an element nested in one of the same name is cut there.
+Text and links come from linear patterns, what depends on nesting from the page's elements (``dom``).
 """
 
 from __future__ import annotations
@@ -13,18 +12,15 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfwise.functions import dom
 from shelfwise.functions import specs as sp
 from shelfwise.functions import text as tx
 from shelfwise.functions.text import col
 
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!doctype[^>]*>"
 TAG = r"<[a-zA-Z/!?][^>]*>"
-# An attribute's value: in double quotes, in single ones, or bare up to blank or end of tag.
-_VALUE = r"""(?:"([^"]*)"|'([^']*)'|([^"'\s>][^\s>]*))"""
-_INSIDE = r"""(?:[^>"']|"[^"]*"|'[^']*')*?"""
-#: A link tag with its address in one of three groups; its text goes up to </a>, the next <a or the end.
-LINK = rf"""(?is)<a\b(?={_INSIDE}\shref\s*=\s*{_VALUE})(?:[^>"']|"[^"]*"|'[^']*')*>(.*?)(?=</a\s*>|<a\b|\z)"""
-HREF = rf"""(?is)^<a\b{_INSIDE}\shref\s*=\s*{_VALUE}"""
+_ANY_TAG = rf"{dom.TAG}|<[!?][^>]*+>"
+#: Group 1: a link tag and all up to </a>, the next <a or the end; other tags match without it, so what their values hold is skipped.
+LINK = rf"(?is)(<a(?=[\s/>])(?:[^<>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+>(?:[^<]++|<(?!/?a[\s/>]))*+)|{dom.TAG}"
 
 
 #: Characters 0x80 to 0x9F of that code page; the five it leaves out stand for themselves.
@@ -33,9 +29,13 @@ WINDOWS_1252 = "".join(
 )
 
 
+#: All public names with what they stand for.
+_NAMES = json.dumps({k[:-1]: v for k, v in html5.items() if k.endswith(";")})
+
+
 def _character(name: Column) -> Column:
     """What a reference (without & and ;) stands for; NULL for a name that is not one."""
-    known = F.from_json(F.lit(json.dumps({k[:-1]: v for k, v in html5.items() if k.endswith(";")})), "map<string, string>")
+    known = F.from_json(F.lit(_NAMES), "map<string, string>")
     hexadecimal = name.rlike("^#[xX]")
     digits = F.regexp_replace(name, "^#[xX]?0*", "")
     # More than seven digits are beyond the last character in either notation.
@@ -51,7 +51,10 @@ def _character(name: Column) -> Column:
             .otherwise(wide)
         )
 
-    return F.when(name.startswith("#"), tx.let(code, written)).otherwise(F.try_element_at(known, name))
+    # The long list is searched from its beginning, so the names of nearly all references come first.
+    common = F.when(name == "amp", "&").when(name == "lt", "<").when(name == "gt", ">").when(name == "quot", '"').when(name == "nbsp", "\xa0")
+    named = common.otherwise(F.try_element_at(known, name))
+    return F.when(name.startswith("#"), tx.let(code, written)).otherwise(named)
 
 
 def unescape(c: Column | str) -> Column:
@@ -76,18 +79,18 @@ def unescape(c: Column | str) -> Column:
 
 def shown(html: Column | str) -> Column:
     """Markup without comments, scripts, styles and doctype."""
-    return F.regexp_replace(col(html), HIDDEN, "")
+    return F.regexp_replace(col(html), dom.HIDDEN, "")
 
 
 def inline_text(html: Column | str) -> Column:
     """Text of a shown fragment with its tags removed, stripped."""
-    return tx.strip(unescape(F.regexp_replace(col(html), TAG, "")))
+    return tx.strip(unescape(F.regexp_replace(col(html), _ANY_TAG, "")))
 
 
 def cell_text(html: Column | str) -> Column:
     """Like inline_text, with a line break per <br> or block end."""
     broken = F.regexp_replace(col(html), r"(?i)<br\s*/?>|</(?:p|div|li)\s*>", "\n")
-    return tx.strip(unescape(F.regexp_replace(broken, TAG, "")))
+    return tx.strip(unescape(F.regexp_replace(broken, _ANY_TAG, "")))
 
 
 def visible_lines(html: Column | str) -> Column:
@@ -97,41 +100,24 @@ def visible_lines(html: Column | str) -> Column:
 
 def href(tag: Column | str) -> Column:
     """Address of the link tag that the text begins with; empty without one."""
-    return unescape(F.concat(*[F.regexp_extract(col(tag), HREF, k) for k in (1, 2, 3)]))
+    return unescape(dom.attribute(tag, "href"))
 
 
 def links(html: Column | str) -> Column:
-    """ARRAY<STRUCT<href, label>>; of a repeated address only the first is kept."""
-
-    def first_of_each(hrefs: Column, labels: Column) -> Column:
-        both = F.arrays_zip(hrefs.alias("href"), labels.alias("label"))
-        return F.filter(both, lambda x, i: F.array_position(hrefs, x["href"]) == i + 1)
+    """ARRAY<STRUCT<href, label>> of the links with an address; of a repeated address only the first is kept."""
 
-    def of_page(page: Column) -> Column:
-        labels = F.transform(F.regexp_extract_all(page, F.lit(LINK), F.lit(4)), inline_text)
-        forms = F.arrays_zip(*[F.regexp_extract_all(page, F.lit(LINK), F.lit(k)).alias(f"v{k}") for k in (1, 2, 3)])
-        hrefs = F.transform(forms, lambda v: unescape(F.concat(v["v1"], v["v2"], v["v3"])))
-        return tx.let(hrefs, lambda found: first_of_each(found, labels))
+    def first_of_each(found: Column, hrefs: Column) -> Column:
+        return F.filter(found, lambda x, i: F.array_position(hrefs, x["href"]) == i + 1)
 
-    return tx.let(shown(html), of_page)
+    parts = F.filter(F.regexp_extract_all(shown(html), F.lit(LINK), F.lit(1)), lambda x: x.rlike(r"(?i)\shref[\s=]"))
+    both = F.transform(parts, lambda x: F.struct(href(x).alias("href"), inline_text(x).alias("label")))
+    addressed = F.filter(both, lambda x: x["href"] != "")
+    return tx.let(addressed, lambda found: tx.let(F.transform(found, lambda x: x["href"]), lambda hrefs: first_of_each(found, hrefs)))
 
 
-def element_texts(html: Column | str, opening: str) -> Column:
-    """Texts of all elements whose opening tag matches; group 1 of ``opening`` is the tag name."""
-    return F.transform(
-        F.regexp_extract_all(col(html), F.lit(rf"(?is){opening}(.*?)</\1\s*>"), F.lit(2)), inline_text
-    )
-
-
-def opening_tag(tags: str = "", classes: str = "", exact: bool = True) -> str:
-    """Pattern of an opening tag named in ``tags`` or holding one of ``classes``."""
-    options = []
-    if tags:
-        options.append(rf"(?=(?:{tags})\b)")
-    if classes:
-        word = rf"(?<![\w-])(?:{classes})(?![\w-])" if exact else rf"(?:{classes})"
-        options.append(rf"""(?=[a-zA-Z0-9]+\b[^>]*\bclass\s*=\s*["'][^"'>]*{word})""")
-    return rf"<(?:{'|'.join(options)})([a-zA-Z0-9]+)\b[^>]*>"
+def text_of(found: Column, node: Column) -> Column:
+    """Text of an element of a page's tokens, stripped."""
+    return inline_text(dom.markup_of(found, node))
 
 
 def following_line(lines: Column | str, labels: Sequence[str]) -> Column:
@@ -168,24 +154,33 @@ def page_specs(lines: Column | str, labels: dict[str, Sequence[str]], brands: st
     }
 
 
-def table_rows(html: Column | str) -> Column:
-    """ARRAY<STRUCT<key, value>> of the rows of a shown page; a one-cell row has no value."""
-    rows = F.regexp_extract_all(col(html), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
-    cells = F.transform(
-        rows, lambda r: F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), F.lit(1))
-    )
+def table_rows(found: Column, within: Column) -> Column:
+    """ARRAY<STRUCT<key, value>> of the table rows among elements; a one-cell row has no value.
+
+    All cells inside a row count, also those of a table within one of them.
+    """
+
+    def row(cells: Column) -> Column:
+        def cell(k: int) -> Column:
+            return F.when(F.size(cells) > k, cell_text(dom.markup_of(found, F.get(cells, F.lit(k)))))
+
+        return F.struct(cell(0).alias("key"), cell(1).alias("value"))
+
     pairs = F.transform(
-        cells,
-        lambda c: F.struct(
-            cell_text(F.get(c, F.lit(0))).alias("key"), cell_text(F.get(c, F.lit(1))).alias("value")
-        ),
+        F.filter(within, lambda x: x["name"] == "tr"),
+        lambda r: tx.let(F.filter(dom.inside(within, _shifted(r, within)), lambda c: c["name"].isin("td", "th")), row),
     )
     return F.filter(pairs, lambda p: p["key"].isNotNull())
 
 
-def table_specs(html: Column | str) -> Column:
-    """[{category, details}] of a page whose one-cell rows are category titles."""
-    return sp.grouped_rows(table_rows(shown(html)))
+def _shifted(node: Column, within: Column) -> Column:
+    """An element whose index counts from the first of a run of elements."""
+    return F.struct((node["o"] - F.get(within, F.lit(0))["o"]).alias("o"), node["size"].alias("size"))
+
+
+def table_specs(html: str) -> Column:
+    """[{category, details}] of a column of pages whose one-cell rows are category titles."""
+    return sp.grouped_rows(dom.on_page(html, table_rows))
 
 
 # Markup of a sectioned specification sheet.
@@ -193,20 +188,19 @@ SECTION_CLASS = "technical-content-section"
 SECTION_TITLE_TAG, SECTION_TITLE_CLASS = "p", "title"
 
 
-def split_before(html: Column | str, opening: str) -> Column:
-    """The pieces of a page that start with a matching tag; what precedes the first is dropped."""
-    return F.filter(
-        F.split(col(html), rf"(?is)(?={opening})"), lambda piece: piece.rlike(rf"(?is)^{opening}")
-    )
+def sectioned_specs(html: str) -> Column:
+    """[{category, details}] of a column of pages with one titled section per category."""
+
+    def section(found: Column, within: Column) -> Column:
+        titles = F.filter(within, lambda x: (x["name"] == SECTION_TITLE_TAG) & dom.has_class(dom.tag_of(found, x), SECTION_TITLE_CLASS))
+        rows = F.filter(table_rows(found, within), lambda r: r["value"].isNotNull())
+        return F.struct(
+            tx.let(titles, lambda t: F.when(F.size(t) > 0, text_of(found, F.get(t, F.lit(0))))).alias("category"),
+            sp.details_from_rows(rows).alias("details"),
+        )
 
+    def sections(found: Column, elements: Column) -> Column:
+        heads = F.filter(elements, lambda x: dom.has_class(dom.tag_of(found, x), SECTION_CLASS))
+        return F.transform(heads, lambda h: tx.let(dom.inside(elements, h), lambda within: section(found, within)))
 
-def sectioned_specs(html: Column | str) -> Column:
-    """[{category, details}] of a page with one titled section per category."""
-    sections = F.transform(
-        split_before(shown(html), opening_tag(classes=SECTION_CLASS)),
-        lambda s: F.struct(
-            F.get(element_texts(s, opening_tag(classes=SECTION_TITLE_CLASS)), F.lit(0)).alias("category"),
-            sp.details_from_rows(F.filter(table_rows(s), lambda r: r["value"].isNotNull())).alias("details"),
-        ),
-    )
-    return F.filter(sections, lambda s: F.size(s["details"]) > 0)
+    return F.filter(dom.on_page(html, sections), lambda s: F.size(s["details"]) > 0)

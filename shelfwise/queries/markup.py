@@ -242,7 +242,8 @@ def _(spark, d):
         section("Nội dung", row("text", F.col("text"))),
         section("Trống"),
     )
-    specs = spread(table(spark, d, "documents"), width(spark)).select("doc_id", F.explode(mk.sectioned_specs(html)).alias("s"))
+    pages = spread(table(spark, d, "documents"), width(spark)).select("doc_id", html.alias("html"))
+    specs = pages.select("doc_id", F.explode(mk.sectioned_specs("html")).alias("s"))
     return specs.select("doc_id", F.col("s.category").alias("category"), F.explode("s.details"))
 
 
