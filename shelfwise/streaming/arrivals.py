@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,11 +66,23 @@ def arrivals_stream(
     )
 
 
+def newest_entries(spark: SparkSession, log: str) -> dict[int, str]:
+    """Per source the folder of its newest entry, from the log's folder names alone."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{log.rstrip('/')}/source_rank=*/entry=*")
+    newest: dict[int, tuple[str, str]] = {}
+    for status in pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []:
+        folder = status.getPath()
+        rank = int(folder.getParent().getName().partition("=")[2])
+        found = unquote(folder.getName().partition("=")[2]), folder.toString()
+        newest[rank] = max(found, newest.get(rank, found))
+    return {rank: folder for rank, (_, folder) in newest.items()}
+
+
 def merged(spark: SparkSession, log: str, schema: str, key: str) -> DataFrame:
     """The newest entry per source, first row per key in source order.
 
-    The log is partitioned by source and entry: the newest entries are found from partition names
-    (one per source reaches the driver), and only they are read.
+    The log is partitioned by source and entry: the newest entries are found by the names of its folders, and only
+    theirs are listed and read, however long the log is.
     """
     full = T.StructType(
         [
@@ -79,10 +92,8 @@ def merged(spark: SparkSession, log: str, schema: str, key: str) -> DataFrame:
             ).schema.fields,
         ]
     )
-    rows = spark.read.schema(full).parquet(log)
-    names = rows.select("source_rank", "entry").distinct()
-    newest = names.groupBy("source_rank").agg(F.max("entry").alias("entry")).collect()
-    wanted = F.lit(False)
-    for r in newest:
-        wanted = wanted | ((F.col("source_rank") == r["source_rank"]) & (F.col("entry") == r["entry"]))
-    return keep_first(rows.where(wanted).drop("batch"), [key], ORDER)
+    folders = sorted(newest_entries(spark, log).values())
+    if not folders:
+        return spark.createDataFrame([], full).drop("batch")
+    rows = spark.read.schema(full).option("basePath", log).parquet(*folders)
+    return keep_first(rows.drop("batch"), [key], ORDER)

@@ -2,63 +2,67 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from shelfwise.operators.lookup import unseen
-from shelfwise.operators.rows import keep_first
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-#: Folders per batch. Fixed for the life of a store.
-BUCKETS = 64
-
-
-def _store_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType())])
-
+def read_store(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(store)
 
-def bucket_of(key: str) -> Column:
-    """The store's folder for a key, below its batch."""
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
+def _unseen(columns: list[str], order: list[str]):
+    """State function: the first row in order of a key without state; the state only says that the key was there."""
 
-def seen_before(spark: SparkSession, store: str, schema: T.StructType, batch_id: int, buckets: Sequence[int]) -> DataFrame:
-    """Rows of earlier batches in the given buckets; other folders are not read."""
-    rows = read_store(spark, store, schema)
-    return rows.where((F.col("batch") < batch_id) & F.col("bucket").isin(list(buckets)))
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        first = None
+        for part in parts:  # all parts have to be taken, also those of known keys
+            if not state.exists and len(part):
+                own = part.sort_values(order, kind="stable").head(1)
+                first = own if first is None else pd.concat([first, own]).sort_values(order, kind="stable").head(1)
+        if first is not None:
+            state.update((True,))
+            yield first[columns]
 
-
-def read_store(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(_store_schema(schema)).parquet(store)
+    return run
 
 
 def first_seen_stream(
     stream: DataFrame, key: str, order: Sequence[str], store: str, checkpoint: str
 ) -> StreamingQuery:
-    """Append rows with a new key to ``store``; keys are never forgotten.
-
-    The store is dealt into ``BUCKETS`` folders by key hash. Each micro-batch is reduced to one row
-    per key and anti-joined with earlier batches, of which only its own buckets' key column is
-    read: a small batch reads a small part of the history. A batch owns its folder, so a replay after a failure overwrites its own rows and nothing else. Where a bounded delay
-    between repeats is acceptable, ``dropDuplicatesWithinWatermark`` needs less state.
+    """Append rows with a new key to the Parquet folder ``store``; keys are never forgotten.
+
+    Keys live in the stream's own state, a RocksDB store per shuffle partition below ``checkpoint``: a batch looks up its own
+    keys and reads neither the store nor the history, however many batches there were. Changes are
+    saved with each batch, so a lost executor or a restart goes on from the last one, and the file sink takes every
+    batch once. Rows travel as they are written, in Arrow batches of many keys; of rows of one key
+    within a batch the first in order counts (the smallest; ties in any order). Where a bounded delay between
+    repeats is acceptable, ``dropDuplicatesWithinWatermark`` needs less state.
     """
-    schema = stream.schema
-    empty = stream.sparkSession.createDataFrame([], schema).withColumn("bucket", F.lit(0))
-    empty.write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch=-1")
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        here = [r[0] for r in batch.select(bucket_of(key).alias("bucket")).distinct().collect()]
-        seen = seen_before(batch.sparkSession, store, schema, batch_id, here)
-        fresh = unseen(keep_first(batch, [key], order), seen, key).withColumn("bucket", bucket_of(key))
-        fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch={batch_id}")
-
-    return (
-        stream.writeStream.foreachBatch(append)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    spark = stream.sparkSession
+    names = stream.columns
+    # NULL is a key like any other.
+    keyed = stream.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("-")))
+    fresh = keyed.groupBy("_key").applyInPandasWithState(
+        _unseen(names, list(order)), stream.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout
     )
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKS)  # taken over by the query when it starts
+    try:
+        return (
+            fresh.writeStream.format("parquet")
+            .option("path", store)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(PROVIDER, before)
