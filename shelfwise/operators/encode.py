@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,17 +133,40 @@ def standard_scaled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def two_components(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """First two principal components of complete, scaled rows; the largest loading is positive.
 
-    Only a columns x columns matrix is gathered; the rows stay distributed.
+    One aggregate gives every pair's correlation and every column's mean and deviation, so the driver holds a
+    columns x columns matrix; its two leading eigenvectors become weights of a sum over the row's own columns.
+    Columns without spread have no weight; with one column alone the second component is 0.
     """
-    scaled = standard_scaled(df.select(*keep, *columns).na.drop(subset=list(columns)), columns)
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(scaled)
-    model = PCA(k=2, inputCol="_v", outputCol="_p").fit(vectors)
-    loadings = model.pc.toArray()
-    signs = [1.0 if loadings[abs(loadings[:, j]).argmax(), j] >= 0 else -1.0 for j in range(2)]
-    point = vector_to_array("_p")
-    return model.transform(vectors).select(
-        *keep, (point[0] * signs[0]).alias("pc_1"), (point[1] * signs[1]).alias("pc_2")
+    complete = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns]).na.drop(subset=list(columns))
+    # Pairs are made by array functions, so the expression does not grow with the square of the columns.
+    pairs = F.transform(
+        "_x", lambda a, i: F.transform(F.slice("_x", F.lit(1), i + 1), lambda b, j: F.struct(i.alias("i"), j.alias("j"), a.alias("a"), b.alias("b")))
     )
+    moments = (
+        complete.select(F.array(*columns).alias("_x")).select(F.inline(F.flatten(pairs))).groupBy("i", "j")
+        .agg(F.avg("a").alias("mean"), F.stddev_pop("a").alias("s"), F.covar_pop("a", "b").alias("v"))
+        .collect()
+    )
+    means, spreads = [0.0] * len(columns), [0.0] * len(columns)
+    for r in moments:
+        if r["i"] == r["j"]:
+            means[r["i"]], spreads[r["i"]] = r["mean"], r["s"]
+    matrix = np.zeros((len(columns), len(columns)))
+    for r in moments:
+        scale = spreads[r["i"]] * spreads[r["j"]]
+        matrix[r["i"], r["j"]] = matrix[r["j"], r["i"]] = r["v"] / scale if scale > 0 else 0.0
+    vectors = np.linalg.eigh(matrix)[1][:, ::-1]
+
+    def component(k: int) -> Column:
+        total = F.lit(0.0)
+        if k < len(columns):
+            v = vectors[:, k] * (1.0 if vectors[np.abs(vectors[:, k]).argmax(), k] >= 0 else -1.0)
+            for c, m, s, w in zip(columns, means, spreads, v):
+                if s > 0:
+                    total = total + (F.col(c) - float(m)) / float(s) * float(w)
+        return total.alias(f"pc_{k + 1}")
+
+    return complete.select(*keep, component(0), component(1))
 
 
 def resolution_class(df: DataFrame, column: str = "screen_resolution") -> DataFrame:

@@ -200,22 +200,77 @@ def _(spark, d):
     return encode.one_hot_long(table(spark, d, "orders"), "o_orderkey", "o_custkey")
 
 
-@query("e11_two_components")
+#: Squarings that leave only a matrix' leading direction: its 2**20th power.
+_SQUARINGS = 20
+
+
+def _leading_sql(name, matrix):
+    """Common table expressions: the unit eigenvector ``name`` (i, v) of a symmetric matrix (i, j, x), largest entry positive."""
+    out, last = [], matrix
+    for k in range(_SQUARINGS):
+        out.append(f"{name}_q{k} AS MATERIALIZED (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM {last} a JOIN {last} b ON a.j = b.i GROUP BY ALL)")
+        last = f"{name}_p{k}"
+        out.append(f"{last} AS MATERIALIZED (SELECT i, j, x / (SELECT sum(x) FROM {name}_q{k} WHERE i = j) AS x FROM {name}_q{k})")
+    out.append(f"""{name}_u AS (SELECT i, x / sqrt(sum(x * x) OVER ()) AS v FROM {last}
+        WHERE j = (SELECT i FROM {last} WHERE i = j ORDER BY x DESC LIMIT 1))""")
+    out.append(f"{name} AS MATERIALIZED (SELECT i, v * (SELECT sign(arg_max(v, abs(v))) FROM {name}_u) AS v FROM {name}_u)")
+    return out
+
+
+def _components_sql(long, key):
+    """Two components of the scaled columns of (key, i, x) rows, by powers of their correlation matrix."""
+    parts = [
+        f"x AS MATERIALIZED ({long})",
+        "m AS (SELECT i, avg(x) AS m, stddev_pop(x) AS s FROM x GROUP BY i)",
+        f"z AS MATERIALIZED (SELECT {key}, i, (x - m) / s AS z FROM x JOIN m USING (i))",
+        f"c AS MATERIALIZED (SELECT a.i, b.i AS j, avg(a.z * b.z) AS x FROM z a JOIN z b USING ({key}) GROUP BY ALL)",
+        *_leading_sql("v1", "c"),
+        "l1 AS (SELECT sum(a.v * c.x * b.v) AS l FROM c JOIN v1 a USING (i) JOIN v1 b ON c.j = b.i)",
+        "d AS MATERIALIZED (SELECT c.i, c.j, c.x - l * a.v * b.v AS x FROM c JOIN v1 a USING (i) JOIN v1 b ON c.j = b.i, l1)",
+        *_leading_sql("v2", "d"),
+        f"""pc AS (SELECT {key}, round(sum(z * v1.v), 4) + 0.0::DOUBLE AS pc_1, round(sum(z * v2.v), 4) + 0.0::DOUBLE AS pc_2
+            FROM z JOIN v1 USING (i) JOIN v2 USING (i) GROUP BY ALL)""",
+    ]
+    return "WITH " + ", ".join(parts)
+
+
+_LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+_LINE_NUMBERS = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+_LINE_EDGES = ", ".join(f"quantile_cont(l_extendedprice, {i}.0::DOUBLE / {len(fx.PRICE_LABELS)}) AS e{i}" for i in range(1, len(fx.PRICE_LABELS)))
+_LINE_BAND = " ".join(f"WHEN l_extendedprice <= e{i + 1} THEN '{label}'" for i, label in enumerate(fx.PRICE_LABELS[:-1]))
+_LINE_LONG = " UNION ALL ".join(
+    f"SELECT r, {i} AS i, CAST({c} AS DOUBLE) AS x FROM line" for i, c in enumerate(_LINE_NUMBERS)
+)
+
+
+def _rounded(df, keep):
+    return df.select(*keep, *[(F.round(c, 4) + F.lit(0.0)).alias(c) for c in ("pc_1", "pc_2")])
+
+
+@query(
+    "e11_two_components",
+    _components_sql(_LINE_LONG, "r").replace("WITH ", "WITH line AS MATERIALIZED (SELECT *, row_number() OVER () AS r FROM lineitem), ", 1)
+    + f"""SELECT {", ".join(_LINE_KEYS)}, CASE WHEN l_extendedprice IS NULL THEN NULL {_LINE_BAND} ELSE '{fx.PRICE_LABELS[-1]}' END AS price_category,
+        pc_1, pc_2 FROM line JOIN pc USING (r), (SELECT {_LINE_EDGES} FROM lineitem)""",
+)
 def _(spark, d):
     lines = table(spark, d, "lineitem")
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    numbers = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
     priced = impute.quantile_bands(
         lines.withColumn("price", F.col("l_extendedprice")), "price", fx.PRICE_LABELS, "price_category"
     )
-    return encode.two_components(priced, numbers, [*keys, "price_category"])
+    keep = [*_LINE_KEYS, "price_category"]
+    return _rounded(encode.two_components(priced, _LINE_NUMBERS, keep), keep)
 
 
-@query("e11_embedding_components")
+@query(
+    "e11_embedding_components",
+    _components_sql(
+        "SELECT vec_id, k AS i, CAST(embedding[k] AS DOUBLE) AS x FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS k FROM embeddings)", "vec_id"
+    )
+    + "SELECT vec_id, label, pc_1, pc_2 FROM embeddings JOIN pc USING (vec_id)",
+)
 def _(spark, d):
     vectors = table(spark, d, "embeddings")
     names = [f"x{i}" for i in range(64)]
     wide = vectors.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
-    return encode.two_components(wide, names, ["vec_id", "label"])
-
-
+    return _rounded(encode.two_components(wide, names, ["vec_id", "label"]), ["vec_id", "label"])

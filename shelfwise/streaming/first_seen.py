@@ -2,64 +2,55 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_store(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(store)
-
-
-def _unseen(columns: list[str], order: list[str]):
-    """State function: the first row in order of a key without state; the state only says that the key was there."""
-
-    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first = None
-        for part in parts:  # all parts have to be taken, also those of known keys
-            if not state.exists and len(part):
-                own = part.sort_values(order, kind="stable").head(1)
-                first = own if first is None else pd.concat([first, own]).sort_values(order, kind="stable").head(1)
-        if first is not None:
-            state.update((True,))
-            yield first[columns]
-
-    return run
+    """The rows of all batches."""
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(store)
 
 
 def first_seen_stream(
     stream: DataFrame, key: str, order: Sequence[str], store: str, checkpoint: str
 ) -> StreamingQuery:
-    """Append rows with a new key to the Parquet folder ``store``; keys are never forgotten.
+    """Append rows with a new key to ``store``, one Parquet folder per batch; keys are never forgotten.
 
     Keys live in the stream's own state, a RocksDB store per shuffle partition below ``checkpoint``: a batch looks up its own
-    keys and reads neither the store nor the history, however many batches there were. Changes are
-    saved with each batch, so a lost executor or a restart goes on from the last one, and the file sink takes every
-    batch once. Rows travel as they are written, in Arrow batches of many keys; of rows of one key
-    within a batch the first in order counts (the smallest; ties in any order). Where a bounded delay between
-    repeats is acceptable, ``dropDuplicatesWithinWatermark`` needs less state.
+    keys and reads neither the store nor the history, however many batches there were. The state holds, per
+    key, its first row and the times of the first and the last batch that had it; the times are equal for keys that are
+    new, and only those are written. Rows of a batch combine per key before the shuffle; of rows of one key
+    within a batch the first in order counts. State and batch times are saved with each batch and a batch owns
+    its folder, so a replay after a failure overwrites its own rows and nothing else. Where a bounded delay
+    between repeats is acceptable, ``dropDuplicatesWithinWatermark`` needs less state.
     """
     spark = stream.sparkSession
-    names = stream.columns
-    # NULL is a key like any other.
-    keyed = stream.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("-")))
-    fresh = keyed.groupBy("_key").applyInPandasWithState(
-        _unseen(names, list(order)), stream.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout
+    row = F.struct(*[F.col(f"`{c}`") for c in stream.columns])
+    arrived = stream.select(
+        F.col(key).alias("key"),
+        row.alias("row"),
+        F.struct(F.current_timestamp().alias("at"), *[F.col(c) for c in order]).alias("place"),
     )
+    state = arrived.groupBy("key").agg(
+        F.min_by("row", "place").alias("row"), F.min("place.at").alias("first"), F.max("place.at").alias("last")
+    )
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        batch.where("first = last").select("row.*").write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
+
     before = spark.conf.get(PROVIDER)
     spark.conf.set(PROVIDER, ROCKS)  # taken over by the query when it starts
     try:
         return (
-            fresh.writeStream.format("parquet")
-            .option("path", store)
+            state.writeStream.foreachBatch(append)
+            .outputMode("update")
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()
