@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import shelfwise
+from shelfwise.llm import arrays
 from shelfwise.session import hand_off
 from shelfwise.sources.tables import table
 
@@ -44,14 +45,28 @@ def extended(df: DataFrame, more: str, without: tuple[str, ...] = ()) -> T.Struc
     return T.StructType([f for f in df.schema.fields if f.name not in without] + T.StructType.fromDDL(more).fields)
 
 
-def map_arrow(df: DataFrame, fn, schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with the package present on the executors."""
+def map_arrow(df: DataFrame, fn, schema: str | T.StructType, lean: bool = False) -> DataFrame:
+    """``mapInArrow`` with the package present on the executors.
+
+    ``lean``: give back what the worker still holds, of earlier stages too, before and after the task.
+    """
     spark = df.sparkSession
     ship(spark)
     # Long texts make large batches; unless the session asks for another size, send fewer rows at a time.
     if spark.conf.get(BATCH_ROWS) == "10000":
         spark.conf.set(BATCH_ROWS, "1000")
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(_released(fn) if lean else fn, schema)
+
+
+def _released(fn):
+    def run(batches):
+        arrays.release()
+        try:
+            yield from fn(batches)
+        finally:
+            arrays.release()
+
+    return run
 
 
 def sample_texts(documents: DataFrame, most: int) -> list[str]:

@@ -8,7 +8,9 @@ over all texts in ``CELLS`` hashed counters (a fixed size; crowding costs time,
 Two sets that link share their first common token within both prefixes of s - ceil(t s) + 1
 tokens, and two tokens within prefixes one longer. A rare token is indexed alone; tokens of the
 frequent class (whose rarest word occurs ``FREQUENT`` times per document or more) are indexed
-by pairs of the longer prefix. A pair's first common token also bounds its overlap by what lies
+by pairs of the longer prefix in sets of up to ``PAIRED`` tokens. Pairs grow with the square of a set, so larger
+sets index frequent tokens alone, and so do those that are small enough for pairs but within reach of a
+larger one: two sets that link meet by pairs if both are small, else alone. A pair's first common token also bounds its overlap by what lies
 behind it, and the parity bits of two sets (``BITS`` of them) bound their difference; both
 bounds are exact, so they lose nothing.
 
@@ -39,6 +41,8 @@ SIMILAR = 90
 CELL_BITS = 18
 FREQUENT = 0.125
 BITS = 512
+#: Tokens of a set whose frequent tokens are indexed by pairs, at most.
+PAIRED = 400
 #: Bits of the filter that keeps unwanted texts out of verification; a crowded one only costs time.
 FILTER_BITS = 1 << 23
 
@@ -50,7 +54,7 @@ def _words(column: pa.Array):
     buf, offsets = A.text_bytes(column)
     buf = A.lower(buf)
     start, end = A.runs(_INSIDE[buf], offsets)
-    return A.range_hashes(A.prefix_hashes(buf), start, end), np.searchsorted(start, offsets)
+    return A.word_hashes(buf, start, end), np.searchsorted(start, offsets)
 
 
 def _cells(hashes: np.ndarray) -> np.ndarray:
@@ -67,7 +71,7 @@ def _count(batches):
 
 def word_classes(documents: DataFrame) -> np.ndarray:
     """Class of every word cell: four times the binary logarithm of its count, at most 255."""
-    counted = map_arrow(documents.select("text"), _count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    counted = map_arrow(documents.select("text"), _count, "cell long, n long", lean=True).groupBy("cell").agg(F.sum("n").alias("n"))
     rows = counted.select("cell", F.least(F.lit(255.0), 4 * F.log2("n")).cast("int").alias("c")).toPandas()
     out = np.zeros(1 << CELL_BITS, dtype=np.uint8)
     out[rows["cell"]] = rows["c"]
@@ -96,15 +100,16 @@ def shingles(column: pa.Array, n: int, classes: np.ndarray | None = None):
     return owner[fresh], token[fresh], kind[fresh]
 
 
-def _keys(owner, token, kind, sizes, first, similar: int, frequent: int):
+def _keys(owner, token, kind, sizes, first, similar: int, frequent: int, paired: int):
     """(owner, key, place of its first token) of every index entry."""
     place = np.arange(len(owner)) - first[owner]
     # Distinct linked sets share at least two tokens for t above a half: their union holds 1 / (1 - t) or more.
     prefix = sizes - -(-similar * sizes // 100) + 1
     rare = kind < frequent
-    alone = np.flatnonzero(rare & (place < prefix[owner]))
+    # A set links with sizes from ``similar`` hundredths of its own on.
+    alone = np.flatnonzero((rare | (100 * sizes > similar * paired)[owner]) & (place < prefix[owner]))
     out = [(owner[alone], A.mix(token[alone] ^ np.uint64(1)), place[alone])]
-    often = np.flatnonzero(~rare & (place < prefix[owner] + 1))
+    often = np.flatnonzero(~rare & (sizes <= paired)[owner] & (place < prefix[owner] + 1))
     bounds = np.searchsorted(owner[often], np.arange(len(sizes) + 1))
     for d in np.flatnonzero(np.diff(bounds) > 1):
         own = often[bounds[d] : bounds[d + 1]]
@@ -114,7 +119,7 @@ def _keys(owner, token, kind, sizes, first, similar: int, frequent: int):
     return tuple(np.concatenate([o[k] for o in out]) for k in range(3))
 
 
-def _sets(classes, frequent: int, n: int, similar: int):
+def _sets(classes, frequent: int, n: int, similar: int, paired: int):
     """Map function: signature, index entries and parity bits of every text's set."""
 
     def run(batches):
@@ -126,7 +131,7 @@ def _sets(classes, frequent: int, n: int, similar: int):
             mixed = A.mix(token ^ np.uint64(0x5555555555555555))
             sums = np.concatenate(([np.uint64(0)], np.cumsum(token, dtype=np.uint64)))
             other = np.concatenate(([np.uint64(0)], np.cumsum(mixed, dtype=np.uint64)))
-            own, key, place = _keys(owner, token, kind, sizes, first, similar, frequent)
+            own, key, place = _keys(owner, token, kind, sizes, first, similar, frequent, paired)
             order = np.argsort(own, kind="stable")
             bounds = np.searchsorted(own[order], np.arange(rows + 1)).astype(np.int32)
             keys = pa.ListArray.from_arrays(
@@ -191,7 +196,7 @@ def _sets_of(texts: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     wanted = spark.sparkContext.broadcast(np.unpackbits(table.view(np.uint8), bitorder="little").view(bool))
     kind = texts.schema["doc_id"].dataType.simpleString()
     rows = texts.where("doc_id is not null").select("doc_id", "text", _filter_place("doc_id").alias("h"))
-    return hand_off(map_arrow(rows, _tokens(n, wanted), f"id {kind}, tokens array<long>"), "tokens")
+    return hand_off(map_arrow(rows, _tokens(n, wanted), f"id {kind}, tokens array<long>", lean=True), "tokens")
 
 
 def _near_enough(a: str, b: str, similar: int) -> Column:
@@ -227,8 +232,9 @@ def link_groups(documents: DataFrame, n: int = SHINGLE, similar: int = SIMILAR)
     base = hand_off(
         map_arrow(
             texts,
-            _sets(classes, frequent, n, similar),
+            _sets(classes, frequent, n, similar, PAIRED),
             f"id {kind}, n long, s1 long, s2 long, keys array<struct<key: long, place: int>>, parity array<long>",
+            lean=True,
         ),
         "sets",
     )

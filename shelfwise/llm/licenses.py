@@ -93,7 +93,7 @@ class Template:
 
 def _hashed(column: pa.Array):
     buf, offsets, start, end = words_of(column)
-    return (buf, offsets), (start, end), A.range_hashes(A.prefix_hashes(buf), start, end)
+    return (buf, offsets), (start, end), A.word_hashes(buf, start, end)
 
 
 def _band(shingles: np.ndarray, band: int) -> np.ndarray:

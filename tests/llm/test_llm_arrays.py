@@ -35,6 +35,25 @@ def test_equal_ranges_have_equal_hashes():
     assert h[0] == h[1] and len(set(h.tolist())) == 4
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.binary(max_size=40), min_size=1, max_size=8), st.integers(0, 9))
+def test_word_hashes_follow_the_bytes(words, gap):
+    buf = np.frombuffer((b"." * gap).join(words) + b"|", dtype=np.uint8)
+    size = np.array([len(w) for w in words])
+    start = np.concatenate(([0], np.cumsum(size[:-1] + gap)))
+    h = A.word_hashes(buf, start, start + size).tolist()
+    alone = [A.word_hashes(np.frombuffer(w, dtype=np.uint8), np.array([0]), np.array([len(w)]))[0] for w in words]
+    assert h == alone and len(set(h)) == len(set(words))
+
+
+def test_long_words_of_opposite_letters_differ():
+    odd = np.array([bin(k).count("1") % 2 for k in range(2048)], dtype=np.uint8)
+    buf = np.concatenate([97 + odd, 98 - odd])
+    for n in (16, 256, 1024, 2048):
+        h = A.word_hashes(buf, np.array([0, 2048]), np.array([n, 2048 + n]))
+        assert h[0] != h[1]
+
+
 def test_gram_hashes_are_range_hashes():
     buf = np.frombuffer(b"the quick brown fox", dtype=np.uint8)
     at = np.arange(len(buf) - 4)
