@@ -220,10 +220,8 @@ def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
     )
 
 
-def encode(documents: DataFrame, path: str, column: str = "text", ids: str = "ids") -> DataFrame:
-    """The documents with their text's token ids in a new binary column; ``path``: the rank file."""
-    ranked = read_ranks(path)
-    shared = documents.sparkSession.sparkContext.broadcast((sentencepiece_model(ranked), ranked))
+def _encoding(shared, column: str, ids: str):
+    """Map function: the batches with the ids of a text column."""
 
     def run(batches):
         to_ids = _encoder(*shared.value)
@@ -242,15 +240,14 @@ def encode(documents: DataFrame, path: str, column: str = "text", ids: str = "id
                 [*batch.columns, _binary(out.view(np.uint8), 4 * bounds).cast(pa.binary())], names=[*batch.schema.names, ids]
             )
 
-    return map_arrow(documents, run, extended(documents, f"`{ids}` binary"))
+    return run
 
 
-def decode(encoded: DataFrame, path: str, ids: str = "ids", data: str = "decoded") -> DataFrame:
-    """The rows with the bytes of their token ids in a new binary column; NULL ids give no bytes."""
-    shared = encoded.sparkSession.sparkContext.broadcast(read_ranks(path))
+def _decoding(entries, ids: str, data: str):
+    """Map function: the batches with the bytes of a column of ids; ``entries()`` is the rank file's list."""
 
     def run(batches):
-        ranked = shared.value
+        ranked = entries()
         sizes = np.array([len(entry) for entry in ranked], dtype=np.int64)
         first = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join(ranked), dtype=np.uint8)
@@ -265,12 +262,44 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", data: str = "decoded
                 [*batch.columns, _binary(out, ends[offsets // 4]).cast(pa.binary())], names=[*batch.schema.names, data]
             )
 
-    return map_arrow(encoded, run, extended(encoded, f"`{data}` binary"))
+    return run
+
+
+def encode(documents: DataFrame, path: str, column: str = "text", ids: str = "ids") -> DataFrame:
+    """The documents with their text's token ids in a new binary column; ``path``: the rank file."""
+    ranked = read_ranks(path)
+    shared = documents.sparkSession.sparkContext.broadcast((sentencepiece_model(ranked), ranked))
+    return map_arrow(documents, _encoding(shared, column, ids), extended(documents, f"`{ids}` binary"), lean=True)
+
+
+def decode(encoded: DataFrame, path: str, ids: str = "ids", data: str = "decoded") -> DataFrame:
+    """The rows with the bytes of their token ids in a new binary column; NULL ids give no bytes."""
+    shared = encoded.sparkSession.sparkContext.broadcast(read_ranks(path))
+    return map_arrow(encoded, _decoding(lambda: shared.value, ids, data), extended(encoded, f"`{data}` binary"), lean=True)
+
+
+def round_trip(documents: DataFrame, path: str, column: str = "text", ids: str = "ids", data: str = "decoded") -> DataFrame:
+    """The documents without their text, but with its token ids and what these decode to.
+
+    The same as ``decode(encode(...))`` in one worker per task instead of two.
+    """
+    ranked = read_ranks(path)
+    shared = documents.sparkSession.sparkContext.broadcast((sentencepiece_model(ranked), ranked))
+    to_ids, to_data = _encoding(shared, column, ids), _decoding(lambda: shared.value[1], ids, data)
+
+    def run(batches):
+        def without_text():
+            for batch in to_ids(batches):
+                yield batch.drop_columns([column])
+
+        return to_data(without_text())
+
+    return map_arrow(documents, run, extended(documents, f"`{ids}` binary, `{data}` binary", (column,)), lean=True)
 
 
 def op4_bpe(documents: DataFrame, path: str) -> DataFrame:
     """Digests of ids and of the decoded bytes for every whole text."""
-    both = decode(encode(documents.select("doc_id", "text"), path).select("doc_id", "ids"), path)
+    both = round_trip(documents.select("doc_id", "text"), path)
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -105,6 +106,9 @@ def test_bpe_equals_tiktoken(spark):
         want = public.encode_ordinary(r["text"] or "")
         assert np.frombuffer(r["ids"], "<u4").tolist() == want
         assert bytes(r["decoded"]).decode() == (r["text"] or "")
+    once = bpe.round_trip(frame(spark, texts), VOCABULARY)
+    assert once.columns == ["doc_id", "score", "row", "n", "ids", "decoded"]
+    assert sorted(once.collect(), key=lambda r: r["doc_id"]) == sorted(coded.drop("text").collect(), key=lambda r: r["doc_id"])
 
 
 @pytest.mark.parametrize("module", [secrets, pii])
@@ -231,6 +235,36 @@ def test_frequent_pairs_lose_nothing(spark, monkeypatch):
     test_jaccard_groups_equal_brute_force(spark)
 
 
+@pytest.mark.parametrize("paired", [0, 12, 40])
+def test_large_sets_index_alone_and_lose_nothing(spark, monkeypatch, paired):
+    monkeypatch.setattr(jaccard, "FREQUENT", 0.0001)
+    monkeypatch.setattr(jaccard, "PAIRED", paired)
+    test_jaccard_groups_equal_brute_force(spark)
+
+
+def test_keys_grow_with_the_text_and_not_with_its_square():
+    rng = np.random.default_rng(2)
+    text = " ".join("c%d" % k for k in rng.integers(0, 60, 100_000))
+    classes = np.full(1 << jaccard.CELL_BITS, 200, dtype=np.uint8)
+    owner, token, kind = jaccard.shingles(pa.array([text]), 5, classes)
+    first = np.array([0, len(owner)])
+    own, _, _ = jaccard._keys(owner, token, kind, np.diff(first), first, 80, 100, jaccard.PAIRED)
+    assert len(owner) > 90_000 and len(own) <= len(owner)
+
+
+def opposite_words(n=2048):
+    """A word and its letter-by-letter opposite, in the order that defeats polynomial hashes of any base."""
+    odd = [bin(k).count("1") % 2 for k in range(n)]
+    return "".join("ab"[x] for x in odd), "".join("ba"[x] for x in odd)
+
+
+def test_unlike_words_never_link(spark):
+    texts = list(opposite_words()) + [" ".join(f"w{k}" for k in range(20)) + " " + w for w in opposite_words()]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.op6_jaccard(frame(spark, texts)).collect()}
+    assert got == brute_groups(list(enumerate(texts))) and got[1][1] == 1
+    assert jaccard.one_of_each(frame(spark, texts[:2]), n=5, similar=80).count() == 2
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (3, 2), (3, 4), (10, 11), (11, 10), (7, 7)], "a long, b long")
     got = {r["id"]: r["component"] for r in components(links).collect()}
