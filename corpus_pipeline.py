@@ -42,7 +42,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text (little-endian unsigned 32-bit), with digests of them and of what they decode to."""
     path = public_tokenizers.path(VOCABULARY)
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path).select("doc_id", "ids"), path)
+    both = bpe.round_trip(docs.select("doc_id", "text"), path)
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
