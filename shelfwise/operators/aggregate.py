@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -112,12 +113,12 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(watch, F.count(F.lit(1)).alias("n_rows")), watch
 
 
-def step_audit(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows before and after a step, and the difference."""
-    sizes = before.agg(F.count("*").alias("n_before")).select(
-        "n_before", after.agg(F.count("*")).scalar().alias("n_after")
-    )
-    return sizes.withColumn("n_removed", F.col("n_before") - F.col("n_after"))
+def step_audit(before: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows before and after a step, and the difference: one pass counts both, the first by observing what enters."""
+    entering, watch = observed(before, f"audit-{uuid.uuid4().hex}")
+    after = step(entering).count()
+    n = watch.get["n_rows"]
+    return small_frame(before.sparkSession, [(n, after, n - after)], "n_before bigint, n_after bigint, n_removed bigint")
 
 
 def present_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -127,8 +127,7 @@ def _(spark, d):
         count(*) - count(o_totalprice) AS n_removed FROM {ORDERS_GAPS}""",
 )
 def _(spark, d):
-    orders = orders_with_gaps(spark, d)
-    return agg.step_audit(orders, orders.where(F.col("o_totalprice").isNotNull()))
+    return agg.step_audit(orders_with_gaps(spark, d), lambda rows: rows.where(F.col("o_totalprice").isNotNull()))
 
 
 @query(

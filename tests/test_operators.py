@@ -157,3 +157,11 @@ def test_unseen_and_backfill(spark):
     assert [r.name for r in lookup.unseen(batch, seen, "name").collect()] == ["b"]
     got = {r.name: r.v for r in lookup.backfill(batch, "name", "v", {"a": "new", "b": "never"}).collect()}
     assert got == {"a": "new", "b": "k"}
+
+
+def test_step_audit_counts_in_one_pass_also_without_rows(spark, tmp_path):
+    for rows, want in (([(1,), (2,), (None,)], (3, 2, 1)), ([], (0, 0, 0))):
+        folder = str(tmp_path / str(len(rows)))
+        spark.createDataFrame(rows, "v int").write.parquet(folder)
+        for before in (spark.read.parquet(folder), spark.createDataFrame(rows, "v int")):
+            assert tuple(agg.step_audit(before, lambda df: df.where("v is not null")).first()) == want
