@@ -191,8 +191,9 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame, span: int =
     Rows are matched by doc_id and text hash, so of rows that share an id each counts by its text.
     """
     keyed = documents.select(F.struct("doc_id", F.xxhash64("text")).alias("doc_id"), "text")
-    gone = contamination(keyed, benchmark, span, gram).where("n_hit > 0").select(F.col("doc_id").alias("_key")).distinct()
-    return documents.join(gone, F.struct("doc_id", F.xxhash64("text")).eqNullSafe(F.col("_key")), "left_anti")
+    gone = contamination(keyed, benchmark, span, gram).where("n_hit > 0").select(F.col("doc_id").alias("gone")).distinct()
+    own = F.struct(documents["doc_id"], F.xxhash64(documents["text"]))
+    return documents.join(gone, own.eqNullSafe(gone["gone"]), "left_anti")
 
 
 def op1_decontamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

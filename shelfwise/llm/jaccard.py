@@ -317,11 +317,13 @@ def one_of_each(documents: DataFrame, n: int = SHINGLE, similar: int = SIMILAR)
     worded = documents.where(~alone)
     heads = groups.where("n_shingles > 0 and doc_id = component_id").select("doc_id").distinct()
     kept = worded.join(heads, "doc_id", "left_semi")
-    least = worded.groupBy("doc_id").agg(F.min(key).alias("_h"), F.count("*").alias("_m"))
-    repeated = least.where("_m > 1").select(F.col("doc_id").alias("_id"), "_h")
-    # Ids are unique in almost any table; only repeated ones need a choice.
-    once = kept.join(repeated, F.col("doc_id") == F.col("_id"), "left_anti")
-    chosen = kept.join(repeated, (F.col("doc_id") == F.col("_id")) & (key == F.col("_h")), "left_semi").dropDuplicates(["doc_id"])
+    least = worded.groupBy("doc_id").agg(F.min(key).alias("least"), F.count("*").alias("m"))
+    repeated = least.where("m > 1").select(F.col("doc_id").alias("again"), "least")
+    # Ids are unique in almost any table; only repeated ones need a choice. The columns are named by their frame,
+    # as the documents may have columns of the same names.
+    same = kept["doc_id"] == repeated["again"]
+    once = kept.join(repeated, same, "left_anti")
+    chosen = kept.join(repeated, same & (F.xxhash64(kept["text"]) == repeated["least"]), "left_semi").dropDuplicates(["doc_id"])
     return once.unionByName(chosen).unionByName(documents.where(alone))
 
 

@@ -81,5 +81,25 @@ def test_near_copies_have_four_fifths_of_five_words(spark, tmp_path):
     assert {r["doc_id"] for r in kept.collect()} == set(group)
 
 
+def test_stages_keep_columns_of_any_name_and_empty_tables(spark, tmp_path):
+    extra = ["_id", "_h", "_m", "_key", "row", "least", "again", "m", "gone", "score", "spans", "hits", "items", "n", "id", "h", "key"]
+    folder = str(tmp_path)
+    item = " ".join(f"w{k}" for k in range(12))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    texts = [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, item), (4, "x token = abcd1234efgh"), (4, "x token = abcd1234efgh"), (5, None), (None, "")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in extra)
+    docs = spark.createDataFrame([(d, t, "en", "s", 1, *extra) for d, t in texts], schema)
+    left = {"toxicity": 7, "ngram_jaccard": 5, "decontamination": 6, "secrets": 7}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, folder)
+        assert kept.columns == docs.columns
+        rows = kept.collect()
+        assert len(rows) == left[name] and all(r[c] == c for r in rows for c in extra)
+        assert stage(spark, docs.limit(0), folder).collect() == []
+    name, last = corpus_pipeline.STAGES[-1]
+    assert last(spark, docs, folder).count() == 7 and last(spark, docs.limit(0), folder).count() == 0
+
+
 def test_stage_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard", "decontamination", "secrets", "byte_bpe"]
