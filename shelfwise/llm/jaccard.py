@@ -18,6 +18,9 @@ Within one index entry pairs are not spelled out: every member is compared with
 least member, verified links give members labels (their least head, two steps up), and only members
 of one entry with different labels are compared with each other, those outside the entry's most
 frequent label against the rest. Every pair that could join two labels is verified on the sets.
+Where an entry would spell out more than ``CROWD`` such pairs (unlike texts that share a passage),
+its undecided members are indexed anew by their whole sets, in the order of the tokens' exact counts
+among these members: what they share comes last then, and only what they have apart is indexed.
 
 Defined cases: a NULL, empty or wordless text has the empty set and links with nothing; fewer
 than ``SHINGLE`` words are one shingle; rows that share a doc_id are one node of the links;
@@ -28,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm import arrays as A
@@ -43,6 +46,8 @@ FREQUENT = 0.125
 BITS = 512
 #: Tokens of a set whose frequent tokens are indexed by pairs, at most.
 PAIRED = 400
+#: Pairs that one entry's undecided members may spell out; members of larger entries get entries of their own.
+CROWD = 1 << 14
 #: Bits of the filter that keeps unwanted texts out of verification; a crowded one only costs time.
 FILTER_BITS = 1 << 23
 
@@ -221,6 +226,73 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     return joined.where(100 * common >= similar * (F.size("ta") + F.size("tb") - common)).select("a", "b").distinct()
 
 
+def _undecided(placed: DataFrame) -> DataFrame:
+    """The rows of entries whose members lie in several components, with the entry's most frequent one as ``main``."""
+    mixed = (
+        placed.groupBy("key", "component").agg(F.count("*").alias("m"))
+        .groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", "m").alias("main"))
+        .where("parts > 1").select("key", "main")
+    )
+    return placed.join(mixed, "key")
+
+
+def _meetings(rows: DataFrame, similar: int) -> DataFrame:
+    """(a, b) of members that may link: those outside an entry's main component against the others of the entry."""
+    return (
+        rows.where("component != main").alias("x")
+        .join(rows.alias("y"), F.col("x.key") == F.col("y.key"))
+        .where(
+            (F.col("x.component") != F.col("y.component"))
+            & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
+            & _near_enough("x", "y", similar)
+            & _alike("x", "y", similar)
+        )
+        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+        .distinct()
+    )
+
+
+def _crowd_entries(crowded: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """Index entries of crowded members by single tokens, the rarest among these members first.
+
+    Tokens that no other crowded member has come first in a set; they take places but need no entries.
+    """
+    whole = sets.select(F.monotonically_increasing_id().alias("row"), "id", F.size("tokens").cast("long").alias("n"), "tokens")
+    spread = whole.join(crowded.select("id").distinct(), "id", "left_semi").select("row", "id", "n", F.explode("tokens").alias("key"))
+    common = spread.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    own = Window.partitionBy("row")
+    place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("m", "key")) - 1
+    ordered = spread.join(common, "key").select("id", "n", "key", place.alias("place"))
+    within = ordered.where(100 * (F.col("n") - F.col("place")) >= similar * F.col("n"))
+    return _undecided(hand_off(within.join(crowded, ["id", "n"]), "crowd-entries"))
+
+
+def _crowd_meetings(crowded: DataFrame, texts: DataFrame, n: int, similar: int) -> DataFrame:
+    """(a, b) of crowded members that may link, by their first common token in the order of ``_crowd_entries``.
+
+    The smaller set of a pair shares 2t / (1 + t) of its tokens or more, so its part of the index is shorter:
+    unlike sets that share a passage have the passage's tokens behind that part, and do not meet at all.
+    """
+    rows = _crowd_entries(crowded, _sets_of(texts, crowded.select(F.col("id").alias("a"), F.col("id").alias("b")), n), similar)
+    rows = hand_off(rows, "crowd")
+    small = rows.where((100 + similar) * (F.col("n") - F.col("place")) >= 2 * similar * F.col("n"))
+    inside = F.col("component") == F.col("main")
+
+    def meet(x: DataFrame, y: DataFrame) -> DataFrame:
+        return (
+            x.alias("x").join(y.alias("y"), F.col("x.key") == F.col("y.key"))
+            .where(
+                (F.col("x.component") != F.col("y.component"))
+                & ((F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.id") < F.col("y.id"))))
+                & _near_enough("x", "y", similar)
+                & _alike("x", "y", similar)
+            )
+            .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+        )
+
+    return meet(small.where(~inside), rows).unionAll(meet(small.where(inside), rows.where(~inside))).distinct()
+
+
 def link_groups(documents: DataFrame, n: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
     """Per document: doc_id, n_shingles, copies (size of its class of equal sets), component_id."""
     spark = documents.sparkSession
@@ -272,24 +344,16 @@ def link_groups(documents: DataFrame, n: int = SHINGLE, similar: int = SIMILAR)
         .withColumn("component", F.coalesce("component", "id"))
         .select("key", "id", "n", "place", "component")
     )
-    mixed = (
-        placed.groupBy("key", "component").agg(F.count("*").alias("m"))
-        .groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", "m").alias("main"))
-        .where("parts > 1").select("key", "main")
-    )
-    open_rows = hand_off(placed.join(mixed, "key").join(marks.select("id", "parity"), "id"), "open")
-    second = (
-        open_rows.where("component != main").alias("x")
-        .join(open_rows.alias("y"), F.col("x.key") == F.col("y.key"))
-        .where(
-            (F.col("x.component") != F.col("y.component"))
-            & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
-            & _near_enough("x", "y", similar)
-            & _alike("x", "y", similar)
-        )
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        .distinct()
+    open_rows = hand_off(_undecided(placed).join(marks.select("id", "parity"), "id"), "open")
+    crowds = (
+        open_rows.groupBy("key").agg(F.count("*").alias("m"), F.count_if(F.col("component") != F.col("main")).alias("apart"))
+        .where(F.col("m") * F.col("apart") > CROWD)
     )
+    crowds = hand_off(crowds.select("key"), "crowds")
+    second = _meetings(open_rows.join(crowds, "key", "left_anti"), similar)
+    if not crowds.isEmpty():
+        crowded = open_rows.join(crowds, "key", "left_semi").select("id", "n", "component", "parity").distinct()
+        second = second.unionAll(_crowd_meetings(hand_off(crowded, "crowded"), texts, n, similar)).distinct()
     second = hand_off(second, "pairs")
     more = _verified(second, _sets_of(texts, second, n), similar)
     whole = components(links.unionAll(more))

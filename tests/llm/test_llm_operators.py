@@ -12,6 +12,7 @@ import tiktoken
 
 import public_tokenizers
 from shelfwise.llm import bpe, decontaminate, hilbert, jaccard, licenses, pii, quality, secrets, substrings, toxicity
+from shelfwise.llm.common import hand_off
 from shelfwise.llm.components import components
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -252,6 +253,30 @@ def test_keys_grow_with_the_text_and_not_with_its_square():
     assert len(owner) > 90_000 and len(own) <= len(owner)
 
 
+@pytest.mark.parametrize("frequent", [0.0001, 0.125])
+def test_crowded_entries_lose_nothing(spark, monkeypatch, frequent):
+    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+    monkeypatch.setattr(jaccard, "CROWD", 0)
+    test_jaccard_groups_equal_brute_force(spark)
+
+
+def test_unlike_texts_with_one_passage_do_not_meet(spark, monkeypatch):
+    """2 000 texts share a passage of words rarer than their others: no pair of unlike ones is spelled out, near copies are still found."""
+    rng = random.Random(11)
+    passage = [f"p{k}" for k in range(60)]
+    texts = [rng.choices(range(30), k=60) for _ in range(2000)]
+    texts = [" ".join([*passage, *(f"c{w}" for w in t)]) for t in texts]
+    texts += [t + " more" for t in texts[:20]]
+    seen = []
+    plain = jaccard._crowd_entries
+    monkeypatch.setattr(jaccard, "_crowd_entries", lambda *a: seen.append(hand_off(plain(*a), "seen")) or seen[-1])
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.op6_jaccard(frame(spark, texts)).collect()}
+    assert got == {d: d - 2000 if d >= 2000 else d for d in range(2020)}
+    short = seen[0].where("190 * (n - place) >= 180 * n").groupBy("key").count().withColumnRenamed("count", "short")
+    pairs = seen[0].groupBy("key").count().join(short, "key").selectExpr("coalesce(sum(count * short), 0) as pairs").first()[0]
+    assert len(seen) == 1 and pairs < 20_000
+
+
 def opposite_words(n=2048):
     """A word and its letter-by-letter opposite, in the order that defeats polynomial hashes of any base."""
     odd = [bin(k).count("1") % 2 for k in range(n)]
