@@ -84,6 +84,16 @@ def test_density_matches_the_definition(spark):
     np.testing.assert_allclose([r.density for r in got], want, rtol=1e-9)
 
 
+def test_density_of_far_values_keeps_empty_grid_points(spark):
+    v = np.concatenate([np.linspace(0, 1, 40_000), [4000.0]])
+    got = charts.density(spark.createDataFrame([(float(x),) for x in v], "x double"), "x").orderBy("point").collect()
+    width = v.std(ddof=1) * len(v) ** -0.2
+    grid = np.linspace(0, 4000, 200)
+    want = np.array([np.exp(-(((v - x) / width) ** 2) / 2).sum() for x in grid]) / (len(v) * width * np.sqrt(2 * np.pi))
+    assert [r.point for r in got] == list(range(200)) and (want == 0).any()
+    np.testing.assert_allclose([r.density for r in got], want, rtol=1e-9, atol=1e-300)
+
+
 def test_one_hot_rows_sum_to_at_most_one(spark, folder):
     parts = table(spark, folder, "part").select("p_partkey", F.nullif("p_type", F.lit("PROMO")).alias("p_type"))
     wide = encode.one_hot(parts, ["p_type"])
