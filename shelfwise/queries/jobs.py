@@ -300,6 +300,18 @@ def _(spark, d):
     return rounded(melted(numeric, ["url"]), ["value"], 9)
 
 
+_HEADPHONE_TEXTS = ["url", "source", "name", "price_raw", "brand", "connection"]
+
+
+# The rows come from CSV files, where an empty cell is a missing value.
+@query(
+    "x5_headphone_texts",
+    headphone_steps().sql("SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in _HEADPHONE_TEXTS) + " FROM @"),
+)
+def _(spark, d):
+    return headphones.headphone_table(spark, _headphone_folder(spark, d), SHOP_PREFIXES).select(*_HEADPHONE_TEXTS)
+
+
 _REPORT_COLUMNS = ["p_brand", "p_type", "p_size", "p_retailprice"]
 _REPORT_NUMBERS = ["p_retailprice", "p_size", "p_partkey"]
 
