@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,9 @@ from shelfwise.operators.aggregate import top_values
 from shelfwise.operators.rows import drop_present
 from shelfwise.session import attach, cut_lineage, one_row, small_frame
 
+#: Levels of one column that become columns of a table; Spark limits such windows before their shuffle up to 1,000 rows.
+MOST_LEVELS = 900
+
 
 def group_rare(df: DataFrame, column: str, k: int, into: str, other: str = "Other") -> DataFrame:
     """Keep the k most frequent levels; everything else, and missing, becomes ``other``."""
@@ -28,10 +31,37 @@ def group_rare(df: DataFrame, column: str, k: int, into: str, other: str = "Othe
     )
 
 
-def levels_of(df: DataFrame, column: str) -> list[str]:
-    """Sorted present levels, one name each: what a table with a column per level has in its header."""
-    found = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("level")).distinct()
-    return sorted(r["level"] for r in found.collect())
+def top_levels(df: DataFrame, columns: Mapping[str, int]) -> dict[str, tuple[list[str], bool]]:
+    """Per column its most frequent levels as text, by falling count then value, and whether any row has none of them.
+
+    All columns are counted in one pass and one shuffle of (column, level) counts; ``columns`` says how many
+    levels of each to fetch, and no more than these reach the driver.
+    """
+    pairs = ", ".join(f"'{c}', cast(`{c}` as string)" for c in columns)
+    counts = df.select(F.expr(f"stack({len(columns)}, {pairs}) as (metric, v)")).groupBy("metric", "v").agg(F.count("*").alias("c"))
+    # The missing value comes first and one level beyond the wanted ones is fetched: either means other rows.
+    order = Window.partitionBy("metric").orderBy(F.isnotnull("v"), F.desc("c"), "v")
+    found = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= max(columns.values()) + 2).collect()
+    out = {}
+    for c, k in columns.items():
+        mine = sorted((r["place"], r["v"]) for r in found if r["metric"] == c)
+        levels = [v for _, v in mine if v is not None]
+        out[c] = (levels[:k], len(mine) > len(levels[:k]))
+    return out
+
+
+def levels_of(df: DataFrame, columns: Sequence[str], most: int = MOST_LEVELS) -> dict[str, list[str]]:
+    """Sorted present levels per column: what a table with a column per level has in its header.
+
+    A column with more than ``most`` levels is an error.
+    """
+    out = {}
+    if columns:
+        for c, (levels, _) in top_levels(df, {c: most + 1 for c in columns}).items():
+            if len(levels) > most:
+                raise ValueError(f"{c} has more than {most} levels: give its levels, or take one_hot_long")
+            out[c] = sorted(levels)
+    return out
 
 
 def one_hot_long(df: DataFrame, key: str, column: str) -> DataFrame:
@@ -51,20 +81,21 @@ def one_hot(
     keep_source: bool = False,
     missing: str | None = None,
     levels: Mapping[str, Sequence[str]] | None = None,
+    most: int = MOST_LEVELS,
 ) -> DataFrame:
-    """0/1 columns ``column_level`` per level, in sorted order; a missing value sets none."""
+    """0/1 columns ``column_level`` per level, in sorted order; a missing value sets none.
+
+    Levels that are not given are found in one pass for all columns, ``most`` of each at the most.
+    """
     out = df
     flags = []
-    for c in columns:
-        value = F.col(c).cast("string")
-        if missing is not None:
-            value = F.coalesce(value, F.lit(missing))
-        known = (levels or {}).get(c)
-        if known is None:
-            known = levels_of(df.select(value.alias(c)), c)
+    values = {c: F.col(c).cast("string") if missing is None else F.coalesce(F.col(c).cast("string"), F.lit(missing)) for c in columns}
+    unknown = [c for c in columns if c not in (levels or {})]
+    known = {**(levels or {}), **levels_of(df.select(*[values[c].alias(c) for c in unknown]), unknown, most)}
+    for c, value in values.items():
         flags += [
             F.coalesce(value == level, F.lit(False)).cast("int").alias(f"{c}_{level}")
-            for level in list(known)[1 if drop_first else 0 :]
+            for level in list(known[c])[1 if drop_first else 0 :]
         ]
     kept = [F.col(f"`{c}`") for c in out.columns if keep_source or c not in columns]
     return out.select(*kept, *flags)
@@ -190,12 +221,20 @@ def encoded_table(
     """Model-ready table: rare levels grouped, one-hot, ordinal codes, text columns dropped.
 
     ``rare`` maps a column to its number of kept levels; the encoded columns are named
-    after ``<column>_grouped``.
+    after ``<column>_grouped``. Levels of all columns come from one pass; the kept ones are
+    few, so rows are grouped by comparison with literals, without a join.
     """
-    out = df
-    for c, k in rare.items():
-        out = group_rare(out, c, k, f"{c}_grouped")
-    out = one_hot(out, [*[f"{c}_grouped" for c in rare], *categories])
+    found = top_levels(df, {**rare, **{c: MOST_LEVELS + 1 for c in categories}}) if rare or categories else {}
+    out, levels = df, {}
+    for c in rare:
+        kept, others = found[c]
+        out = out.withColumn(f"{c}_grouped", F.when(F.col(c).cast("string").isin(kept), F.col(c).cast("string")).otherwise("Other"))
+        levels[f"{c}_grouped"] = sorted({*kept, *(["Other"] if others else [])})
+    for c in categories:
+        if len(found[c][0]) > MOST_LEVELS:
+            raise ValueError(f"{c} has more than {MOST_LEVELS} levels: group its rare ones")
+        levels[c] = sorted(found[c][0])
+    out = one_hot(out, list(levels), levels=levels)
     for c, mapping in (ordinal or {}).items():
         out = ordinal_codes(out, c, mapping, f"{c}_encoded")
     return booleans_to_int(drop_present(out, drop))

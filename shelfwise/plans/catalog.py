@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise import fixed_values as fx
 from shelfwise.functions import phone as ph
 from shelfwise.functions import text as tx
-from shelfwise.functions.numeric import band
+from shelfwise.functions.numeric import band, to_number
 from shelfwise.functions.specs import merged_specs
 from shelfwise.operators import encode, impute, lookup, rows
 from shelfwise.operators.aggregate import rare_values
@@ -81,11 +81,11 @@ def normalise(cleaned: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def encode_for_model(features: DataFrame, drop: Sequence[str] = fx.TEXT_COLUMNS_TO_DROP) -> DataFrame:
-    """0/1 and numeric columns only, apart from ``security``."""
+    """0/1 and numeric columns only; a screen size that is no number is missing."""
     return encode.encoded_table(
-        features,
+        features.withColumn("screen_size", to_number("screen_size")),
         rare={"screen_tech": 20, "brand": 10, "chip_model": 10},
-        categories=["screen_resolution_k", "os"],
+        categories=["screen_resolution_k", "os", "security"],
         ordinal={"price_category": fx.PRICE_RANKS},
         drop=drop,
     )

@@ -56,8 +56,7 @@ def add_features(cleaned: DataFrame) -> DataFrame:
 
 
 def encode_for_model(features: DataFrame, brands: int = 15) -> DataFrame:
-    grouped = encode.group_rare(features, "brand", brands, "brand_grouped")
-    return encode.booleans_to_int(encode.one_hot(grouped, ["brand_grouped", "type"]))
+    return encode.encoded_table(features, rare={"brand": brands}, categories=["type"], drop=[])
 
 
 def headphone_table(spark: SparkSession, folder: str, prefixes: Sequence[str]) -> DataFrame:

@@ -189,6 +189,8 @@ def _encoded_sql():
         one_hot_sql("@", "ordinal", grouped_sql("@", "chip_model", 10), "chip_model_grouped"),
         one_hot_sql("@", "ordinal", "screen_resolution_k", "screen_resolution_k"),
         one_hot_sql("@", "ordinal", "os", "os"),
+        one_hot_sql("@", "ordinal", "security", "security"),
+        "SELECT ordinal, 'screen_size', TRY_CAST(screen_size AS DOUBLE) FROM @",
         "SELECT ordinal, 'price_category_encoded', CASE price_category WHEN 'Low' THEN 0.0 WHEN 'Medium' THEN 1.0 "
         "WHEN 'High' THEN 2.0 ELSE 3.0 END::DOUBLE FROM @",
         *[f"SELECT ordinal, '{c}', {c}::DOUBLE FROM @" for c in _KEPT_NUMBERS],
@@ -198,7 +200,7 @@ def _encoded_sql():
 
 @query("x4_encode_for_model", _encoded_sql())
 def _(spark, d):
-    features = hand_off(_features(spark, d), "model").drop("screen_size", "security")
+    features = hand_off(_features(spark, d), "model")
     return melted(catalog.encode_for_model(features), ["ordinal"])
 
 

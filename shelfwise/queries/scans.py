@@ -18,6 +18,19 @@ def _(spark, d):
     return readers.read_csv(spark, path, PART_DDL)
 
 
+@query(
+    "s1_mixed_headers",
+    "SELECT p_partkey, p_name, CASE WHEN p_size % 2 = 0 THEN p_brand END AS p_brand, p_size FROM part",
+)
+def _(spark, d):
+    """Files with two headers in one folder, the second one in another order and without the brand."""
+    path = scratch_path(spark, "mixed")
+    parts = table(spark, d, "part")
+    writers.write_csv(parts.where("p_size % 2 = 0").select("p_partkey", "p_name", "p_brand", "p_size"), f"{path}/even")
+    writers.write_csv(parts.where("p_size % 2 = 1").select("p_size", "p_name", "p_partkey"), f"{path}/odd")
+    return readers.read_csv(spark, f"{path}/*", "p_partkey bigint, p_name string, p_brand string, p_size int", mixed=True)
+
+
 def product_lines(spark, d):
     """Nested products written as lines that each hold an array of at most 50 records."""
     path = scratch_path(spark, "json")

@@ -61,18 +61,22 @@ def read_csv(
     required: Sequence[str] = (),
     extra: bool = False,
     corrupt: str | None = None,
+    mixed: bool = False,
 ) -> DataFrame:
     """CSV with header, its columns matched by name. Paths of a list may differ in their columns.
 
     Columns that a file lacks are NULL, or an error if ``required``; columns beyond the schema
     come as text with ``extra`` and are left out otherwise. Within one path all files must have one
-    header; another one is an error. ``corrupt`` names a column for lines that cannot be read
-    as typed. ``multi_line`` allows line breaks in cells, at the price of unsplittable files.
+    header; another one is an error, unless ``mixed`` says that they may differ: files are then
+    grouped by their first line, in one pass over the lines, and each group is a scan of its own.
+    ``corrupt`` names a column for lines that cannot be read as typed. ``multi_line`` allows line
+    breaks in cells, at the price of unsplittable files.
     """
     wanted = spark.createDataFrame([], schema).schema
     options = dict(header=True, multiLine=multi_line, escape='"', encoding="UTF-8")
     frames = []
-    for one in [path] if isinstance(path, str) else path:
+    paths = [path] if isinstance(path, str) else list(path)
+    for one in [g for p in paths for g in files_by_header(spark, p) or [p]] if mixed else paths:
         found = spark.read.csv(one, **options).columns
         missing = [c for c in required if c not in found]
         if missing:
@@ -82,7 +86,7 @@ def read_csv(
         if corrupt:
             own = own.add(corrupt, T.StringType())
         read = spark.read.schema(own).csv(
-            one, mode="PERMISSIVE", enforceSchema=bool(corrupt), columnNameOfCorruptRecord=corrupt, **options
+            one, mode="PERMISSIVE", enforceSchema=False, columnNameOfCorruptRecord=corrupt, **options
         )
         # The scan's hidden file columns stay reachable: only names and order change.
         kept = [F.col(f"`{f.name}`") if f.name in found else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted.fields]
@@ -94,6 +98,24 @@ def read_csv(
     return out
 
 
+def files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files of a path in groups of one first line; empty files have none and are left out.
+
+    Each file gives the driver its name, which the scans list anyway; first lines are compared in Spark.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    )
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    # Names come as URIs; readers take plain paths, in which pattern characters are escaped.
+    plain = F.regexp_replace(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))), r"([\[\]{}*?\\])", r"\\$1")
+    groups = first.groupBy("header").agg(F.array_sort(F.collect_list(plain)).alias("files")).orderBy("files").collect()
+    return [g["files"] for g in groups]
+
+
 def with_origin(df: DataFrame) -> DataFrame:
     """Adds the position of each row in its source: file, split offset and row in the split.
 

@@ -110,6 +110,32 @@ def test_long_one_hot_takes_any_number_of_levels(spark):
     assert all(names[r.code] == r.level for r in got) and len(names) > 1000
 
 
+def test_levels_of_all_columns_come_from_one_pass(spark):
+    rows = [("x", "r", 1), ("x", "s", 1), ("y", None, 2), ("z", "r", None), (None, "t", 2)]
+    df = spark.createDataFrame(rows, "a string, b string, c int")
+    assert encode.top_levels(df, {"a": 1, "b": 3, "c": 1}) == {
+        "a": (["x"], True), "b": (["r", "s", "t"], True), "c": (["1"], True),
+    }
+    assert encode.top_levels(df.na.drop(), {"a": 2, "b": 2}) == {"a": (["x"], False), "b": (["r", "s"], False)}
+    wide = encode.encoded_table(df, rare={"a": 2, "b": 3}, categories=["c"], drop=["a", "b"])
+    # The first level in sorted order has no column; rows without a kept level are others.
+    assert wide.columns == ["a_grouped_x", "a_grouped_y", "b_grouped_r", "b_grouped_s", "b_grouped_t", "c_2"]
+    assert sorted(tuple(r) for r in wide.collect()) == sorted(
+        [(1, 0, 1, 0, 0, 0), (1, 0, 0, 1, 0, 0), (0, 1, 0, 0, 0, 1), (0, 0, 1, 0, 0, 0), (0, 0, 0, 0, 1, 1)]
+    )
+    assert "Join" not in wide._jdf.queryExecution().executedPlan().toString()
+    empty = encode.encoded_table(df.limit(0), rare={"a": 2}, categories=["c"], drop=["a", "b"])
+    assert empty.columns == [] and empty.count() == 0
+
+
+def test_too_many_levels_are_refused_unless_given(spark):
+    df = spark.range(30).selectExpr("id as k", "cast(id as string) as v")
+    assert len(encode.one_hot(df, ["v"], drop_first=False, most=30).columns) == 31
+    with pytest.raises(ValueError, match="more than 29 levels"):
+        encode.one_hot(df, ["v"], most=29)
+    assert encode.one_hot(df, ["v"], drop_first=False, levels={"v": ["3"]}, most=29).columns == ["k", "v_3"]
+
+
 def test_repeated_keys_do_not_repeat_rows(spark):
     df = spark.createDataFrame([("a", None), ("b", "x"), ("c", None)], "k string, v string")
     fill = spark.createDataFrame([("a", "1"), ("a", "2"), ("a", None)], "k string, f string")

@@ -57,6 +57,36 @@ def test_csv_columns_go_by_name(spark, tmp_path):
     assert sorted((r.n or 0, r._bad) for r in kept.collect()) == [(0, "s,twelve"), (12, None)]
 
 
+def test_files_of_one_folder_with_different_headers(spark, tmp_path):
+    folder = tmp_path / "raw [1]"
+    folder.mkdir()
+    for name, text in {
+        "a b.csv": "url,source,n\nhttp://u,shop,1\n",
+        "c+d.csv": "source,url\nshop2,http://w\n",
+        "e{f}.csv": "url,source,n\nhttp://v,shop3,x\n",
+        "g.csv": "",
+    }.items():
+        (folder / name).write_text(text, encoding="utf-8")
+    path = f"{tmp_path}/raw*"
+    schema = "source string, url string, n int"
+    rows = sorted(tuple(r) for r in readers.read_csv(spark, path, schema, mixed=True).collect())
+    assert rows == [("shop", "http://u", 1), ("shop2", "http://w", None), ("shop3", "http://v", None)]
+    kept = readers.read_csv(spark, path, schema, corrupt="_bad", mixed=True).collect()
+    assert sorted((r.source or "", r.n, r._bad) for r in kept) == [
+        ("shop", 1, None), ("shop2", None, None), ("shop3", None, "http://v,shop3,x"),
+    ]
+    # Without the word a second header is an error, also where lines that cannot be read are kept.
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two" / "a.csv").write_text("url,source\nu,s\n", encoding="utf-8")
+    (tmp_path / "two" / "b.csv").write_text("source,url\ns,u\n", encoding="utf-8")
+    for corrupt in (None, "_bad"):
+        with pytest.raises(Exception, match="(?i)header"):
+            readers.read_csv(spark, str(tmp_path / "two"), schema, corrupt=corrupt).collect()
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "a.csv").write_text("", encoding="utf-8")
+    assert readers.read_csv(spark, str(tmp_path / "none"), schema, mixed=True).count() == 0
+
+
 def test_numbers_beyond_their_type_become_null(spark):
     df = spark.createDataFrame([("99999999999", "60 Hz"), ("120", None)], "a string, b string")
     assert [r[0] for r in df.select(phone.refresh_hz("a", "b")).collect()] == [None, 120]
