@@ -6,13 +6,15 @@ equal keys spread too. Range partitioning by key cuts each curve into blocks of
 ``BLOCK`` vectors. A query goes to its own block and to the ``width`` blocks on either side of it, on
 every curve; blocks score it exactly in double precision, and the best over all curves win.
 
-``width`` is not a guess: a sample of ``CALIBRATE`` queries (first by hash) is compared with all
-vectors, and ``width`` becomes the least that finds ``RECALL`` of their true neighbours. On data
+``width`` is not a guess: a sample of ``CALIBRATE`` vectors (first by hash, and as long as there are
+others none that is asked for) is compared with all, and ``width`` becomes the least that finds
+``RECALL`` of their true neighbours. On data
 with structure a few blocks do; on vectors without any the windows grow until recall holds,
 which is then as dear as comparing with everything, but never loses recall.
 
 Equal vectors are indexed as one with their least ids, as many as an answer can hold, so a
 vector that holds a third of all rows is one entry; its other copies could never be answers.
+Queries of one vector search once, for one answer more, and each leaves itself out of the result.
 
 Defined cases: vectors that are NULL, empty, zero, or hold NULL or non-finite components take no part,
 nor do those of another length than most (the longer, if two lengths tie), nor rows without id; of
@@ -33,7 +35,7 @@ from shelfwise.llm.common import hand_off, map_arrow, ship
 CURVES, DIMS, CELL_BITS = 4, 8, 7
 BLOCK = 2048
 CALIBRATE, RECALL = 192, 0.96
-#: Queries scored in one block task together.
+#: Most searches that one task scores with a block; a block with more goes to several tasks.
 QUERIES = 4096
 SEED = 20
 
@@ -121,36 +123,38 @@ def _scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return np.clip(queries @ vectors.T / norms, -1.0, 1.0)
 
 
-def _answers(query_ids, queries, ids: list, vectors, k: int):
-    """(query, id, score) of the k best of a block for every query; ids: each entry's ids, least first."""
+def _answers(searches, queries, ids: list, vectors, k: int):
+    """(search, id, score) of the k best of a block for every search; ids: each entry's ids, least first."""
     out_q, out_i, out_s = [], [], []
     sizes = np.array([len(i) for i in ids])
     flat = np.concatenate([np.asarray(i, dtype=np.int64) for i in ids])
     entry = np.repeat(np.arange(len(ids)), sizes)
-    for a in range(0, len(query_ids), 256):
+    for a in range(0, len(searches), 256):
         table = _scores(queries[a : a + 256], vectors)
-        for q, row in zip(query_ids[a : a + 256], table):
+        for q, row in zip(searches[a : a + 256], table):
             score = row[entry]
-            near = np.flatnonzero(flat != q)
-            best = near[_best(flat[near], score[near], k)] if len(near) else near
+            best = _best(flat, score, k)
             out_q.append(np.full(len(best), q))
             out_i.append(flat[best])
             out_s.append(score[best])
     return np.concatenate(out_q), np.concatenate(out_i), np.concatenate(out_s)
 
 
-_FOUND = "query_id long, vec_id long, score double"
+_FOUND = "entry long, vec_id long, score double"
+
+
+def _ranked(found: DataFrame, by: str, k: int) -> DataFrame:
+    order = Window.partitionBy(by).orderBy(F.col("score").desc(), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
-    """The k best per query over all blocks; the same pair from several curves counts once."""
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    """The k best per search over all blocks; the same pair from several curves counts once."""
+    return _ranked(found.groupBy("entry", "vec_id").agg(F.max("score").alias("score")), "entry", k)
 
 
 def entries(vectors: DataFrame, k: int) -> tuple[DataFrame, int]:
-    """(ids, vector): distinct usable vectors with their k + 1 least ids; and the vectors' length."""
+    """(entry, ids, vector): distinct usable vectors, named by their least id, with their k + 1 least ids; and the vectors' length."""
     good = vectors.where(
         F.col("vec_id").isNotNull()
         & (F.size("embedding") > 0)
@@ -162,7 +166,8 @@ def entries(vectors: DataFrame, k: int) -> tuple[DataFrame, int]:
     single = good.where(F.size("vector") == length).groupBy("id").agg(F.min("vector").alias("vector"))
     order = Window.partitionBy("vector").orderBy("id")
     kept = single.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
-    return kept.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids")), length
+    listed = kept.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    return listed.select(F.element_at("ids", 1).alias("entry"), "ids", "vector"), length
 
 
 def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
@@ -173,7 +178,7 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     distinct = hand_off(found, "vectors")
     count = distinct.count()
     blocks = max(1, -(-count // BLOCK))
-    keyed = map_arrow(distinct, _key_rows(length), "curve int, key long, vector array<double>, ids array<long>")
+    keyed = map_arrow(distinct, _key_rows(length), "curve int, key long, entry long, ids array<long>, vector array<double>")
     dealt = keyed.repartitionByRange(blocks * CURVES, "curve", "key", F.xxhash64("ids"))
     index = hand_off(dealt.withColumn("block", F.spark_partition_id()), "curves")
     # All ids of an entry that are queries ask, also those beyond the k + 1 least: they find the least ones.
@@ -181,69 +186,74 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
         vectors.where(F.col("vec_id") % every == 0)
         .select(F.col("vec_id").cast("long").alias("query_id"), F.transform("embedding", lambda v: v.cast("double") + 0.0).alias("vector"))
         .groupBy("query_id").agg(F.min("vector").alias("vector"))
-        .join(distinct.select("vector"), "vector"),
+        .join(distinct.select("vector", "entry"), "vector").select("query_id", "entry"),
         "queries",
     )
-    width = _width(asking, distinct, index, length, k)
+    searches = hand_off(asking.select("entry").distinct(), "searches")
+    width = _width(distinct, index, length, k, every)
     spans = index.groupBy("curve").agg(F.min("block").alias("low"), F.max("block").alias("high"))
-    homes = asking.join(index.select("vector", "curve", "block"), "vector").join(F.broadcast(spans), "curve")
+    homes = index.join(searches, "entry", "left_semi").join(F.broadcast(spans), "curve")
     sent = homes.select(
         "curve",
         F.explode(F.sequence(F.greatest(F.col("block") - width, "low"), F.least(F.col("block") + width, "high"))).alias("block"),
-        "query_id",
+        "entry",
         "vector",
     )
-    # A block sees at most QUERIES queries at a time; its vectors go to as many parts as it takes.
-    parts = max(1, -(-asking.count() * min(2 * width + 1, blocks) // (blocks * QUERIES)))
-    sent = sent.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
-    held = index.select(
+    # A task scores about QUERIES searches: a block with more goes to several, one without any to none.
+    load = sent.groupBy("curve", "block").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts"))
+    sent = sent.join(load, ["curve", "block"]).select(
+        "curve", "block", F.pmod(F.xxhash64("entry"), F.col("parts")).cast("int").alias("part"), "entry", "vector"
+    )
+    held = index.join(load, ["curve", "block"]).select(
         F.col("curve").alias("of_curve"),
         F.col("block").alias("of_block"),
-        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("of_part"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("of_part"),
         F.col("ids").alias("ids"),
         F.col("vector").alias("held"),
     )
 
     def block(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+            return pa.table({"entry": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         q, i, s = _answers(
-            left.column("query_id").to_numpy(), _matrix(left.column("vector"), length), right.column("ids").to_pylist(),
-            _matrix(right.column("held"), length), k,
+            left.column("entry").to_numpy(), _matrix(left.column("vector"), length), right.column("ids").to_pylist(),
+            _matrix(right.column("held"), length), k + 1,
         )
-        return pa.table({"query_id": q, "vec_id": i, "score": s})
+        return pa.table({"entry": q, "vec_id": i, "score": s})
 
     pairs = (
         sent.groupBy("curve", "block", "part")
         .cogroup(held.groupBy("of_curve", "of_block", "of_part"))
         .applyInArrow(block, _FOUND)
     )
-    return _top(pairs, k).select("query_id", "rank", "vec_id", "score")
+    found = asking.join(_top(pairs, k + 1).drop("rank"), "entry").where("query_id != vec_id")
+    return _ranked(found, "query_id", k).select("query_id", "rank", "vec_id", "score")
 
 
-def _width(asking: DataFrame, distinct: DataFrame, index: DataFrame, length: int, k: int) -> int:
+def _width(distinct: DataFrame, index: DataFrame, length: int, k: int, every: int) -> int:
     """Least number of blocks on either side that finds RECALL of the sample's true neighbours."""
-    spark = asking.sparkSession
-    sample: pd.DataFrame = asking.orderBy(F.xxhash64("query_id"), "query_id").limit(CALIBRATE).toPandas()
+    spark = distinct.sparkSession
+    asked = F.col("entry") % every == 0
+    sample: pd.DataFrame = distinct.orderBy(asked, F.xxhash64("entry"), "entry").limit(CALIBRATE).select("entry", "vector").toPandas()
     if not len(sample):
         return 0
-    ids = sample["query_id"].to_numpy()
+    ids = sample["entry"].to_numpy()
     shared = spark.sparkContext.broadcast((ids, np.array(sample["vector"].tolist(), dtype=np.float64)))
 
     def compare(batches):
         for batch in batches:
             if batch.num_rows:
-                q, i, s = _answers(*shared.value, batch.column("ids").to_pylist(), _matrix(batch.column("vector"), length), k)
-                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(i), pa.array(s)], names=["query_id", "vec_id", "score"])
+                q, i, s = _answers(*shared.value, batch.column("ids").to_pylist(), _matrix(batch.column("vector"), length), k + 1)
+                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(i), pa.array(s)], names=["entry", "vec_id", "score"])
 
-    true = _top(map_arrow(distinct, compare, _FOUND), k).select("query_id", "vec_id")
-    sampled = F.broadcast(spark.createDataFrame([(int(i),) for i in ids], "query_id long"))
-    here = asking.join(sampled, "query_id").join(index.select("vector", "curve", F.col("block").alias("from")), "vector")
+    true = _ranked(_top(map_arrow(distinct, compare, _FOUND), k + 1).where("entry != vec_id").drop("rank"), "entry", k)
+    sampled = F.broadcast(spark.createDataFrame([(int(i),) for i in ids], "entry long"))
+    here = index.join(sampled, "entry").select("entry", "curve", F.col("block").alias("from"))
     there = index.select(F.col("curve").alias("on"), "block", F.explode("ids").alias("vec_id"))
     apart = (
-        true.join(here.select("query_id", "curve", "from"), "query_id")
+        true.select("entry", "vec_id").join(here, "entry")
         .join(there, "vec_id").where("curve = on")
-        .groupBy("query_id", "vec_id").agg(F.min(F.abs(F.col("from") - F.col("block"))).alias("blocks"))
+        .groupBy("entry", "vec_id").agg(F.min(F.abs(F.col("from") - F.col("block"))).alias("blocks"))
         .groupBy("blocks").count().toPandas().sort_values("blocks")
     )
     reached = apart["count"].cumsum() / max(apart["count"].sum(), 1)

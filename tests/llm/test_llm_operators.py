@@ -352,6 +352,31 @@ def test_recall_with_many_blocks(spark, monkeypatch):
     test_neighbours(spark)
 
 
+@pytest.mark.parametrize("n", [600, 2400])
+def test_recall_on_clusters_with_a_vector_that_a_third_of_all_rows_share(spark, monkeypatch, n):
+    monkeypatch.setattr(hilbert, "BLOCK", 64)
+    monkeypatch.setattr(hilbert, "QUERIES", 8)
+    rng = np.random.default_rng(n)
+    centres = rng.normal(size=(24, 16))
+    vectors = (centres[rng.integers(24, size=n)] + rng.normal(scale=0.2, size=(n, 16))).astype(np.float32).astype(float)
+    vectors[::3] = vectors[0]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in hilbert.nearest(df, every=10).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert set(got) == set(range(0, n, 10))
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    hits = 0
+    for q in got:
+        score = np.round(unit @ unit[q], 12)
+        true = [v for v in np.lexsort((np.arange(n), -score)) if v != q][:5]
+        if q % 3 == 0:
+            # A copy of the shared vector finds the five least of the other copies, whichever copy it is.
+            assert got[q] == true == [v for v in range(0, 18, 3) if v != q][:5]
+        hits += len(set(got[q]) & set(true))
+    assert hits >= 0.9 * 5 * len(got)
+
+
 def test_hilbert_curve_visits_neighbours():
     cells = np.array(list(itertools.product(range(8), repeat=3)))
     keys = hilbert.hilbert_keys(cells, 3)
