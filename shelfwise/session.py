@@ -34,8 +34,8 @@ def build_session(app: str = "shelfwise", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can see, as the cluster names it.
 
-    Without that setting it lies in the session's warehouse, which is shared by definition;
-    a machine-local temporary folder is never used.
+    Without that setting it lies in the session's warehouse. Spark's default for that is a local
+    folder, so on a cluster one of the two has to be set to a shared one.
     """
     return _scopes[-1] if _scopes else _base_dir(spark)
 
