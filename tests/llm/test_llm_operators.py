@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -324,6 +325,36 @@ def test_substrings_equal_brute_force(spark):
     assert got == sorted(want)
 
 
+def test_a_bucket_of_suffixes_takes_little_memory():
+    """60 000 suffixes (4.3 MB): their hashes are made some at a time; every later document of a pair is found."""
+    rng = np.random.default_rng(1)
+    n = 30_000
+    context = np.concatenate([rng.integers(97, 123, (n, substrings._CONTEXT)).astype(np.uint8)] * 2)
+    mask = ((1 << rng.integers(1, substrings._SPAN + 2, n)) - 1).astype("<u4")
+    doc = np.arange(2 * n).astype("<i8")
+    halves = [slice(0, n), slice(n, 2 * n)]
+    group = pa.table(
+        {
+            "bucket": [0, 0],
+            "chunk": [0, 1],
+            "place": [np.arange(n).astype("<u4").tobytes()] * 2,
+            "mask": [mask.tobytes()] * 2,
+            "doc": [doc[h].tobytes() for h in halves],
+            "context": [context[h].tobytes() for h in halves],
+            "done_place": [b""] * 2,
+            "done_mask": [b""] * 2,
+        }
+    )
+    tracemalloc.start()
+    try:
+        found = substrings._earlier_windows(group)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found.column("mask").to_pylist() == [b"", mask.tobytes()]
+    assert peak < 100 << 20
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(7)
     vectors = rng.normal(size=(600, 16)).astype(np.float32)
