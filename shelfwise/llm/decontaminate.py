@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm import arrays as A
-from shelfwise.llm.common import hand_off, map_arrow
+from shelfwise.llm.common import hand_off, map_arrow, settled, sifted
 
 SPAN = 10
 GRAM = 4
@@ -190,10 +190,18 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame, span: int =
 
     Rows are matched by doc_id and text hash, so of rows that share an id each counts by its text.
     """
-    keyed = documents.select(F.struct("doc_id", F.xxhash64("text")).alias("doc_id"), "text")
-    gone = contamination(keyed, benchmark, span, gram).where("n_hit > 0").select(F.col("doc_id").alias("gone")).distinct()
-    own = F.struct(documents["doc_id"], F.xxhash64(documents["text"]))
-    return documents.join(gone, own.eqNullSafe(gone["gone"]), "left_anti")
+    keyed = documents.select(F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("doc_id"), "text")
+    gone = settled(
+        documents.sparkSession,
+        lambda: contamination(keyed, benchmark, span, gram).where("n_hit > 0").select(
+            F.col("doc_id.doc_id").alias("gone"), F.col("doc_id.hash").alias("hash")
+        ).distinct(),
+        "gone",
+    )
+    # Texts stay in place, but for those of ids that may be among the found ones.
+    clean, doubtful = sifted(documents, [documents["doc_id"]], gone.select("gone"))
+    found = doubtful["doc_id"].eqNullSafe(gone["gone"]) & (F.xxhash64(doubtful["text"]) == gone["hash"])
+    return clean.unionAll(doubtful.join(gone, found, "left_anti"))
 
 
 def op1_decontamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

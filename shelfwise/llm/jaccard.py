@@ -12,7 +12,8 @@ by pairs of the longer prefix in sets of up to ``PAIRED`` tokens. Pairs grow wit
 sets index frequent tokens alone, and so do those that are small enough for pairs but within reach of a
 larger one: two sets that link meet by pairs if both are small, else alone. A pair's first common token also bounds its overlap by what lies
 behind it, and the parity bits of two sets (``BITS`` of them) bound their difference; both
-bounds are exact, so they lose nothing.
+bounds are exact, so they lose nothing. Pairs of larger sets are bounded once more, by parity bits as
+many as their tokens, before any tokens are joined.
 
 Within one index entry pairs are not spelled out: every member is compared with the entry's
 least member, verified links give members labels (their least head, two steps up), and only members
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm import arrays as A
-from shelfwise.llm.common import hand_off, map_arrow
+from shelfwise.llm.common import FILTER_BITS, filter_place, filter_words, hand_off, map_arrow, settled, sifted
 from shelfwise.llm.components import components
 
 SHINGLE = 3
@@ -48,8 +49,6 @@ BITS = 512
 PAIRED = 400
 #: Pairs that one entry's undecided members may spell out; members of larger entries get entries of their own.
 CROWD = 1 << 14
-#: Bits of the filter that keeps unwanted texts out of verification; a crowded one only costs time.
-FILTER_BITS = 1 << 23
 
 _INSIDE = np.ones(256, dtype=bool)
 _INSIDE[[9, 10, 11, 12, 13, 32]] = False
@@ -124,6 +123,10 @@ def _keys(owner, token, kind, sizes, first, similar: int, frequent: int, paired:
     return tuple(np.concatenate([o[k] for o in out]) for k in range(3))
 
 
+def _parity_mix(token: np.ndarray) -> np.ndarray:
+    return A.mix(token ^ np.uint64(0x5555555555555555))
+
+
 def _sets(classes, frequent: int, n: int, similar: int, paired: int):
     """Map function: signature, index entries and parity bits of every text's set."""
 
@@ -133,7 +136,7 @@ def _sets(classes, frequent: int, n: int, similar: int, paired: int):
             rows = batch.num_rows
             first = np.searchsorted(owner, np.arange(rows + 1))
             sizes = np.diff(first)
-            mixed = A.mix(token ^ np.uint64(0x5555555555555555))
+            mixed = _parity_mix(token)
             sums = np.concatenate(([np.uint64(0)], np.cumsum(token, dtype=np.uint64)))
             other = np.concatenate(([np.uint64(0)], np.cumsum(mixed, dtype=np.uint64)))
             own, key, place = _keys(owner, token, kind, sizes, first, similar, frequent, paired)
@@ -164,8 +167,21 @@ def _sets(classes, frequent: int, n: int, similar: int, paired: int):
     return run
 
 
+def _wide_parity(token: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Parity bits of the sets of more than ``BITS`` tokens, one to two for each token (a power of two); none of others."""
+    sizes = np.diff(bounds)
+    words = np.where(sizes > BITS, 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64) >> 6, 0)
+    first = np.concatenate(([0], np.cumsum(words)))
+    large = np.repeat(words > 0, sizes)
+    own = np.repeat(np.arange(len(sizes)), sizes)[large]
+    bit = (_parity_mix(token[large]) % (64 * words[own]).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(64 * first[own] + bit, minlength=64 * first[-1]) & 1
+    packed = np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(packed))
+
+
 def _tokens(n: int, wanted):
-    """Map function: tokens of the texts whose id hash the filter lets through."""
+    """Map function: tokens of the texts whose id hash the filter lets through, and the large sets' parity bits."""
 
     def run(batches):
         for batch in A.chunks(batches):
@@ -175,33 +191,24 @@ def _tokens(n: int, wanted):
             owner, token, _ = shingles(batch.column("text"), n)
             bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(token.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, _wide_parity(token, bounds)], names=["id", "tokens", "parity"])
 
     return run
 
 
-def _filter_place(column: str) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-
-
 def _sets_of(texts: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """(id, tokens) of the documents in the pairs, and of few others; no text is shuffled.
+    """(id, tokens, parity) of the documents in the pairs, and of few others; no text is shuffled.
 
     What reaches the driver is a bit set of FILTER_BITS, whatever the number of pairs.
     """
     spark = texts.sparkSession
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(_filter_place("id").alias("h"))
-    packed = (
-        ids.groupBy((F.col("h") / 64).cast("long").alias("w"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))")).alias("v"))
-        .collect()
-    )
+    packed = filter_words(pairs.select(F.explode(F.array("a", "b")).alias("id")).select(filter_place("id").alias("h"))).collect()
     table = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
     table[[r["w"] for r in packed]] = np.array([r["v"] for r in packed], dtype=np.int64).view(np.uint64)
     wanted = spark.sparkContext.broadcast(np.unpackbits(table.view(np.uint8), bitorder="little").view(bool))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    rows = texts.where("doc_id is not null").select("doc_id", "text", _filter_place("doc_id").alias("h"))
-    return hand_off(map_arrow(rows, _tokens(n, wanted), f"id {kind}, tokens array<long>", lean=True), "tokens")
+    rows = texts.where("doc_id is not null").select("doc_id", "text", filter_place("doc_id").alias("h"))
+    return hand_off(map_arrow(rows, _tokens(n, wanted), f"id {kind}, tokens array<long>, parity array<long>", lean=True), "tokens")
 
 
 def _near_enough(a: str, b: str, similar: int) -> Column:
@@ -218,10 +225,36 @@ def _alike(a: str, b: str, similar: int) -> Column:
     return (100 + similar) * differ <= (100 - similar) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
 
+def _folded(a: str, b: str) -> Column:
+    """The parity bits of ``a``, of as few as ``b`` has; sizes of two sets that may link differ by one doubling at most."""
+    words, half = F.col(f"{a}.parity"), F.size(f"{b}.parity")
+    folded = F.zip_with(F.slice(words, F.lit(1), half), F.slice(words, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(words) == 2 * half, folded).otherwise(words)
+
+
+def _unlike(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """The pairs of large sets that cannot link, by parity bits as many as tokens (``BITS`` say nothing about these)."""
+    large = sets.where(F.size("parity") > 0).select("id", F.size("tokens").alias("n"), "parity")
+    both = (
+        pairs.join(large.alias("p"), F.col("a") == F.col("p.id"))
+        .join(large.alias("q"), F.col("b") == F.col("q.id"))
+        .select("a", "b", F.struct("p.n", "p.parity").alias("p"), F.struct("q.n", "q.parity").alias("q"))
+    )
+    both = both.select(
+        "a", "b",
+        F.struct("p.n", _folded("p", "q").alias("parity")).alias("p"),
+        F.struct("q.n", _folded("q", "p").alias("parity")).alias("q"),
+    )
+    unequal = 100 * F.least("p.n", "q.n") < similar * F.greatest("p.n", "q.n")
+    return both.where(unequal | ~_alike("p", "q", similar)).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
-    joined = pairs.join(right, "b").join(left, "a")
+    near = hand_off(pairs.join(_unlike(pairs, sets, similar), ["a", "b"], "left_anti"), "near")
+    _, needed = sifted(sets, [sets["id"]], near.select(F.explode(F.array("a", "b")).alias("id")))
+    left = needed.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
+    right = needed.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
+    joined = near.join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("ta", "tb"))
     return joined.where(100 * common >= similar * (F.size("ta") + F.size("tb") - common)).select("a", "b").distinct()
 
@@ -314,7 +347,12 @@ def link_groups(documents: DataFrame, n: int = SHINGLE, similar: int = SIMILAR)
     groups = hand_off(
         base.where("n > 0 and id is not null").groupBy(*same).agg(F.min("id").alias("id"), F.count("*").alias("copies")), "classes"
     )
-    members = base.where(F.size("keys") > 0).join(groups.select("id", *same), ["id", *same], "left_semi")
+    # Of each class the least id is the member. Only rows of classes that may have copies are looked up.
+    copied = hand_off(groups.where("copies > 1").select(*same, F.col("id").alias("member")), "copied")
+    indexed = base.where((F.size("keys") > 0) & F.col("id").isNotNull())
+    alone, several = sifted(indexed, [indexed[c] for c in same], copied.select(*same))
+    copy = [several[c] == copied[c] for c in same] + [several["id"] != copied["member"]]
+    members = alone.unionAll(several.join(copied, copy, "left_anti"))
     entries = members.select("id", "n", F.inline("keys"))
     shared = entries.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("least")).where("m > 1")
     postings = hand_off(entries.join(shared.select("key", "least"), "key"), "postings")
@@ -330,7 +368,7 @@ def link_groups(documents: DataFrame, n: int = SHINGLE, similar: int = SIMILAR)
     )
     first = first.join(marks.alias("x"), F.col("a") == F.col("x.id")).join(marks.alias("y"), F.col("b") == F.col("y.id"))
     first = hand_off(first.where(_alike("x", "y", similar)).select("a", "b").distinct(), "pairs")
-    links = hand_off(_verified(first, _sets_of(texts, first, n), similar), "links")
+    links = settled(spark, lambda: _verified(first, _sets_of(texts, first, n), similar), "links")
     # Two steps towards the least head are enough to see most of what belongs together.
     label = links.groupBy("b").agg(F.min("a").alias("head"))
     above = label.select(F.col("b").alias("up"), F.col("head").alias("top"))
@@ -355,7 +393,7 @@ def link_groups(documents: DataFrame, n: int = SHINGLE, similar: int = SIMILAR)
         crowded = open_rows.join(crowds, "key", "left_semi").select("id", "n", "component", "parity").distinct()
         second = second.unionAll(_crowd_meetings(hand_off(crowded, "crowded"), texts, n, similar)).distinct()
     second = hand_off(second, "pairs")
-    more = _verified(second, _sets_of(texts, second, n), similar)
+    more = settled(spark, lambda: _verified(second, _sets_of(texts, second, n), similar), "links")
     whole = components(links.unionAll(more))
     found = groups.join(whole, "id", "left").select(*same, "copies", F.coalesce("component", "id").alias("component_id"))
     return (
@@ -375,20 +413,25 @@ def one_of_each(documents: DataFrame, n: int = SHINGLE, similar: int = SIMILAR)
     Of rows that share that doc_id the one with the least text hash stays, once; rows without
     doc_id or without words stay as they are.
     """
-    groups = link_groups(documents, n, similar)
-    key = F.xxhash64("text")
-    alone = F.col("doc_id").isNull() | (F.coalesce(F.length(F.trim(F.translate("text", "\t\n\x0b\x0c\r", "     "))), F.lit(0)) == 0)
-    worded = documents.where(~alone)
-    heads = groups.where("n_shingles > 0 and doc_id = component_id").select("doc_id").distinct()
-    kept = worded.join(heads, "doc_id", "left_semi")
-    least = worded.groupBy("doc_id").agg(F.min(key).alias("least"), F.count("*").alias("m"))
-    repeated = least.where("m > 1").select(F.col("doc_id").alias("again"), "least")
-    # Ids are unique in almost any table; only repeated ones need a choice. The columns are named by their frame,
-    # as the documents may have columns of the same names.
-    same = kept["doc_id"] == repeated["again"]
-    once = kept.join(repeated, same, "left_anti")
-    chosen = kept.join(repeated, same & (F.xxhash64(kept["text"]) == repeated["least"]), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(chosen).unionByName(documents.where(alone))
+    spark = documents.sparkSession
+    groups = settled(spark, lambda: link_groups(documents, n, similar).where("n_shingles > 0"), "groups")
+    # Ids that do not stand for their group, or stand in several rows; any other worded row stays, and its text in place.
+    head = F.col("doc_id") == F.col("component_id")
+    decided = groups.where("doc_id is not null").groupBy(F.col("doc_id").alias("decided")).agg(
+        F.count("*").alias("m"), F.max(head).alias("head")
+    )
+    decided = hand_off(decided.where("m > 1 or not head").select("decided", "head"), "decided")
+    worded = F.length(F.trim(F.translate(documents["text"], "\t\n\x0b\x0c\r", "     "))) > 0
+    stay, open_rows = sifted(documents, [documents["doc_id"]], decided.select("decided"), documents["doc_id"].isNotNull() & worded)
+    # The columns are named by their frame, as the documents may have columns of the same names.
+    stay = stay.unionAll(open_rows.join(decided, open_rows["doc_id"] == decided["decided"], "left_anti"))
+    again = decided.where("head").select(F.col("decided").alias("again"))
+    if again.isEmpty():
+        return stay
+    repeated = open_rows.join(again, open_rows["doc_id"] == again["again"], "left_semi")
+    least = repeated.groupBy(F.col("doc_id").alias("again")).agg(F.min(F.xxhash64("text")).alias("least"))
+    same = (repeated["doc_id"] == least["again"]) & (F.xxhash64(repeated["text"]) == least["least"])
+    return stay.unionAll(repeated.join(least, same, "left_semi").dropDuplicates(["doc_id"]))
 
 
 def op6_jaccard(documents: DataFrame) -> DataFrame:

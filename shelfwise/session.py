@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -96,6 +96,15 @@ def hand_off(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """``hand_off`` of the frame that ``build`` makes; what it stored on the way is deleted."""
+    path = scratch_path(spark, label)
+    with scratch(spark):
+        df = build()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def attach(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", stored: bool = False) -> DataFrame:
     """Join a derived table (unique in ``on``) to a fact table.
 

@@ -1,10 +1,12 @@
 """The pipeline's stages against plain versions of their decisions."""
 
 import hashlib
+import os
 import random
 
 import corpus_pipeline
 from shelfwise.llm import decontaminate, jaccard
+from shelfwise.llm.common import sifted
 from test_llm_operators import brute_groups
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -103,3 +105,65 @@ def test_stages_keep_columns_of_any_name_and_empty_tables(spark, tmp_path):
 
 def test_stage_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard", "decontamination", "secrets", "byte_bpe"]
+
+
+def stored(spark):
+    """Labels of what lies in the shared folder."""
+    return sorted(name.rsplit("-", 1)[0] for name in os.listdir(spark.conf.get("spark.checkpoint.dir")) if "-" in name)
+
+
+def test_stages_leave_no_intermediates_and_move_few_texts(spark, tmp_path):
+    """What a stage wrote on its way goes before the next one runs, and texts of rows that stay are not shuffled."""
+    rng = random.Random(17)
+    words = ["z%d" % k for k in range(400)]
+    texts = [" ".join(rng.choices(words, k=60)) for _ in range(300)]
+    texts += [texts[0], texts[1] + " more"]
+    write(spark, str(tmp_path), [(k, t, "en", "s", 1) for k, t in enumerate(texts)])
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, " ".join(texts[2].split()[5:20]))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    before, threshold = stored(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, gone in (("ngram_jaccard", {300, 301}), ("decontamination", {2})):
+            kept = dict(corpus_pipeline.STAGES)[name](spark, docs, str(tmp_path))
+            assert {r["doc_id"] for r in kept.collect()} == set(range(302)) - gone
+            plan = kept._jdf.queryExecution().optimizedPlan().toString()
+            assert "Union" in plan and "strategy=broadcast" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    left = stored(spark)
+    for label in before:
+        left.remove(label)
+    assert not {"sets", "postings", "tokens", "pairs", "open", "classes", "span-hits", "test-spans"} & set(left)
+
+
+def test_sifted_parts(spark):
+    df = spark.createDataFrame([(k if k else None, k % 3 == 0) for k in range(5000)], "id long, may boolean")
+    keys = spark.createDataFrame([(None,), (9,), (10,), (4998,)], "key long")
+    for among, want in ((None, {None, 9, 10, 4998}), (df["may"], {None, 9, 4998})):
+        clear, doubtful = sifted(df, [df["id"]], keys, among)
+        clear, doubtful = [r["id"] for r in clear.collect()], [r["id"] for r in doubtful.collect()]
+        assert len(clear) + len(doubtful) == 5000 and want <= set(doubtful) and len(doubtful) < 100
+
+
+def test_large_sets_are_bounded_before_their_tokens_move(spark):
+    """Sets of 500 to 2 300 shingles, either side of every size of parity bits: near pairs link, unlike ones are told apart early."""
+    rng = random.Random(23)
+    words = ["y%d" % k for k in range(5000)]
+    texts = []
+    for size in (500, 516, 900, 1010, 1020, 1030, 2040, 2060):
+        origin = rng.choices(words, k=size)
+        for part in (0.05, 0.12, 0.2, 0.24, 0.3):
+            texts.append(origin + rng.choices(words, k=int(size * part)))
+        texts.append(origin[: size // 2] + rng.choices(words, k=size // 2))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in texts]
+    linked = {
+        (a, b) for b in range(len(sets)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    }
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id long, text string")
+    pairs = spark.createDataFrame([(a, b) for b in range(len(sets)) for a in range(b)], "a long, b long")
+    tokens = jaccard._sets_of(docs, pairs, 5)
+    assert {(r["a"], r["b"]) for r in jaccard._verified(pairs, tokens, 80).collect()} == linked
+    unlike = {(r["a"], r["b"]) for r in jaccard._unlike(pairs, tokens, 80).collect()}
+    large = {(a, b) for a, b in set(map(tuple, pairs.collect())) - linked if min(len(sets[a]), len(sets[b])) > jaccard.BITS}
+    assert not unlike & linked and len(unlike) >= 0.95 * len(large)
